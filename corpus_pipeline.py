@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siltstone.llm.decontaminate import decontaminate, excise
 from siltstone.llm.lines import line_dedup
 from siltstone.llm.mixing import mix
+from siltstone.llm.neardup import near_duplicates
 from siltstone.llm.quality import quality_rules
 from siltstone.storage import release, scratch_path
 
@@ -31,6 +33,20 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return left.select("doc_id", "text", "lang", "source", F.length("text").cast("long").alias("n_chars"))
 
 
+def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays, the one with the smallest id."""
+    release(spark)
+    gone = near_duplicates(docs).where("NOT kept").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+
+
+def remove_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Contaminated documents go; where a document holds a passage of a single item, only that passage goes."""
+    release(spark)
+    found = decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).where("NOT contaminated")
+    return excise(found).select("doc_id", "text", "lang", "source", F.when(F.size("spans") > 0, F.length("text")).otherwise(F.col("n_chars")).cast("long").alias("n_chars"))
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The training schedule: how many words of each document the mix takes, and where they stand."""
     release(spark)
@@ -40,6 +56,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality rules", filter_quality),
     ("line dedup", dedup_lines),
+    ("near dedup", dedup_near),
+    ("decontamination", remove_benchmarks),
     ("mixing", mix_sources),
 ]
 
@@ -47,7 +65,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages to ``documents``; each result is written and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    written = [scratch_path(spark, f"stage{i}") for i in range(len(STAGES))]
+    written = [scratch_path(spark, f"stage{i}", released=False) for i in range(len(STAGES))]
     for path, (_, stage) in zip(written, STAGES):
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
