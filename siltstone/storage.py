@@ -26,10 +26,11 @@ def shared_root(spark: SparkSession) -> str:
     return _own_root
 
 
-def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new path below the shared folder; ``release`` deletes it later."""
+def scratch_path(spark: SparkSession, label: str, released: bool = True) -> str:
+    """A new path below the shared folder; ``release`` deletes it later unless told not to."""
     path = f"{shared_root(spark)}/siltstone/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
-    _written.append(path)
+    if released:
+        _written.append(path)
     return path
 
 
@@ -51,3 +52,9 @@ def release(spark: SparkSession, keep: int = 0) -> None:
     """Delete what ``materialize`` wrote, but for the ``keep`` newest tables; call it when results are written."""
     while len(_written) > keep:
         delete(spark, _written.pop(0))
+
+
+def bounded_batches(spark: SparkSession, rows: int = 2_000, megabytes: int = 16) -> None:
+    """Bound the Arrow batches that go to Python workers by bytes too, so that very long texts do not pile up."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(megabytes << 20))
