@@ -239,12 +239,16 @@ def polygon(points: Column) -> Column:
     area = F.abs(F.aggregate(crosses, F.lit(0.0), lambda a, x: a + x)) / 2
     sides = F.transform(steps, lambda i: F.sqrt(F.pow(at(i + 1, 0) - at(i, 0), 2) + F.pow(at(i + 1, 1) - at(i, 1), 2)))
     perimeter = F.aggregate(sides, F.lit(0.0), lambda a, x: a + x)
-    xs, ys = (F.transform(points, lambda p, k=k: F.get(p, F.lit(k)).cast("int")) for k in (0, 1))
+    xs, ys = (F.transform(steps, lambda i: at(i, 0).cast("int")), F.transform(steps, lambda i: at(i, 1).cast("int")))
     width, height = (F.array_max(c) - F.array_min(c) + 1 for c in (xs, ys))
     turns = F.transform(steps, lambda i: F.signum((at(i + 1, 0) - at(i, 0)) * (at(i + 2, 1) - at(i + 1, 1)) - (at(i + 1, 1) - at(i, 1)) * (at(i + 2, 0) - at(i + 1, 0))))
     convex = ~(F.exists(turns, lambda t: t > 0) & F.exists(turns, lambda t: t < 0))
-    corner = [F.transform(F.sequence(F.lit(0), F.lit(2)), lambda j, s=s: F.get(points, F.when(j >= s, j + 1).otherwise(j))) for s in range(4)]
-    triangles = F.array(*[F.abs((F.get(F.get(c, F.lit(1)), F.lit(0)) - F.get(F.get(c, F.lit(0)), F.lit(0))) * (F.get(F.get(c, F.lit(2)), F.lit(1)) - F.get(F.get(c, F.lit(0)), F.lit(1))) - (F.get(F.get(c, F.lit(2)), F.lit(0)) - F.get(F.get(c, F.lit(0)), F.lit(0))) * (F.get(F.get(c, F.lit(1)), F.lit(1)) - F.get(F.get(c, F.lit(0)), F.lit(1)))) / 2 for c in corner])
+
+    def triangle(i: int, j: int, k: int) -> Column:
+        (ax, ay), (bx, by), (cx, cy) = ((at(F.lit(m), 0), at(F.lit(m), 1)) for m in (i, j, k))
+        return F.abs((bx - ax) * (cy - ay) - (cx - ax) * (by - ay)) / 2
+
+    triangles = F.array(triangle(0, 1, 2), triangle(0, 1, 3), triangle(0, 2, 3), triangle(1, 2, 3))
     hull = F.when(convex | (n != 4), area).otherwise(F.array_max(triangles))
     return F.struct(
         area.alias("area"),

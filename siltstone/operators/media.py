@@ -23,7 +23,7 @@ from siltstone.storage import bounded_batches
 FORMATS, LEAST_SIDE = ("JPEG", "PNG", "WEBP"), 128
 
 
-@F.pandas_udf("struct<fmt: string, w: int, h: int>")
+@F.pandas_udf(T.StructType([T.StructField("fmt", T.StringType()), T.StructField("w", T.IntegerType()), T.StructField("h", T.IntegerType())]))
 def probe(content: pd.Series) -> pd.DataFrame:
     """Format and size from the file's header; nulls for anything that is no image."""
     return pd.DataFrame([rasters.probe(b) or (None, None, None) for b in content], columns=["fmt", "w", "h"]).astype({"w": "Int32", "h": "Int32"})
@@ -98,9 +98,6 @@ def temperature(base: float, attempt: int, step: float = 0.05) -> float:
     return min(1.0, base + step * (attempt - 1))
 
 
-BOXES = T.ArrayType(T.StructType([T.StructField("points", T.ArrayType(T.ArrayType(T.DoubleType()))), T.StructField("conf", T.DoubleType())]))
-
-
 def text_boxes(df: DataFrame, boxes: str = "boxes", least_conf: float = 0.35, least_area: float = 150.0, reject_round: bool = True, **roundness: float) -> DataFrame:
     """Keeps the boxes that are large, confident and not round; adds ``has_ocr``, which a hit sets and a miss does not clear."""
     shaped = F.transform(F.col(boxes), lambda b: F.struct(b["points"].alias("points"), b["conf"].alias("conf"), polygon(b["points"]).alias("shape")))
