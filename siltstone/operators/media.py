@@ -98,11 +98,14 @@ def temperature(base: float, attempt: int, step: float = 0.05) -> float:
     return min(1.0, base + step * (attempt - 1))
 
 
-def text_boxes(df: DataFrame, boxes: str = "boxes", least_conf: float = 0.35, least_area: float = 150.0, reject_round: bool = True, **roundness: float) -> DataFrame:
-    """Keeps the boxes that are large, confident and not round; adds ``has_ocr``, which a hit sets and a miss does not clear."""
-    shaped = F.transform(F.col(boxes), lambda b: F.struct(b["points"].alias("points"), b["conf"].alias("conf"), polygon(b["points"]).alias("shape")))
+def text_boxes(df: DataFrame, boxes: str = "boxes", least_conf: float = 0.35, least_area: float = 150.0, reject_round: bool = True, recheck: float = 0.0, **roundness: float) -> DataFrame:
+    """Keeps the boxes that are large, confident and not round; adds ``has_ocr``, which a hit sets and a miss does not clear.
+
+    With ``recheck`` above 0 boxes also need a field ``rec``, the confidence of recognising text in them, that reaches it.
+    """
+    shaped = F.transform(F.col(boxes), lambda b: F.struct(b["points"].alias("points"), b["conf"].alias("conf"), polygon(b["points"]).alias("shape"), (b["rec"] if recheck > 0 else F.lit(1.0)).alias("rec")))
     out = df.withColumn("_b", shaped)
-    good = F.filter("_b", lambda b: (b["shape"]["area"] >= least_area) & (b["conf"] >= least_conf) & (~is_round(b["shape"], **roundness) if reject_round else F.lit(True)))
+    good = F.filter("_b", lambda b: (b["shape"]["area"] >= least_area) & (b["conf"] >= least_conf) & (b["rec"] >= recheck) & (~is_round(b["shape"], **roundness) if reject_round else F.lit(True)))
     kept = F.transform(good, lambda b: F.struct(b["points"].alias("points"), b["conf"].alias("conf"), b["shape"]["area"].alias("area")))
     old = F.coalesce(F.col("has_ocr"), F.lit(False)) if "has_ocr" in df.columns else F.lit(False)
     return out.withColumn(boxes, kept).withColumn("has_ocr", F.when(F.size(boxes) > 0, F.lit(True)).otherwise(old)).drop("_b")

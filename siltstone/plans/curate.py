@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.operators import captions, dedup, groups, rank
-from siltstone.sinks.payloads import sample_metadata, split_stats, write_shards
+from siltstone.sinks.payloads import clear_shards, sample_metadata, split_stats, write_shards
 from siltstone.storage import materialize
 
 
@@ -41,11 +41,13 @@ def caption_base(base: DataFrame, corrected: DataFrame | None = None) -> tuple[D
     return captions.hybrid_captions(good), captions.recap_rows(bad)
 
 
-def package(base: DataFrame, payloads: DataFrame, root: str, train_shards: int = 16, seed: int = 42, least_count: int = 0) -> tuple[DataFrame, str]:
+def package(base: DataFrame, payloads: DataFrame, root: str, train_shards: int = 16, seed: int = 42, least_count: int = 0, overwrite: bool = False) -> tuple[DataFrame, str]:
     """Normalise names, split, and pack; returns (shard table, statistics JSON).
 
     Payloads (path, content) are joined before ids are made unique, so a missing file does not claim its id.
     """
+    if overwrite:
+        clear_shards(base.sparkSession, root)
     kept, _ = groups.normalise_tags(base)
     counted = groups.counts(kept, F.split("species", ", "), least_count).where("pokemon <> ''")
     split = groups.quota_split(kept, groups.quotas_by_rank(counted), seed)

@@ -123,6 +123,18 @@ def write_shards(df: DataFrame, root: str, pattern: str, n_shards: int) -> DataF
     return dealt.mapInArrow(run, "path string, samples long, bytes long")
 
 
+def clear_shards(spark, root: str, patterns: tuple[str, ...] = ("train/train-*.tar", "val/val-*.tar")) -> int:
+    """Delete the shards of an earlier run; returns how many there were."""
+    jvm, n = spark._jvm, 0
+    for pattern in patterns:
+        where = jvm.org.apache.hadoop.fs.Path(f"{root}/{pattern}")
+        store = where.getFileSystem(spark._jsc.hadoopConfiguration())
+        for found in store.globStatus(where) or []:
+            store.delete(found.getPath(), False)
+            n += 1
+    return n
+
+
 def split_stats(totals: dict[str, int], manifests: dict[str, tuple[str, int, str]]) -> str:
     """The statistics file of a packed dataset."""
     ids = {s: {"path": p, "count": n, "sha256": d} for s, (p, n, d) in manifests.items()}

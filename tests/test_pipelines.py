@@ -71,6 +71,29 @@ def test_search_and_fetch(spark, tmp_path):
     assert got == {"u1": "image/png", "u2": None, "bad": None}
 
 
+def test_collect(spark):
+    from siltstone.plans.collect import collect
+
+    images = {f"http://h/{i}.png": rasters.encode_png(np.full((130, 130, 3), i % 4, np.uint8)) for i in range(6)} | {"http://h/small.png": rasters.encode_png(np.zeros((5, 5, 3), np.uint8))}
+    pages = {"Cat art": [["http://h/0.png", "http://h/small.png", "http://h/0.png"], ["http://h/4.png", "http://h/1.png", "http://h/2.png", "http://gone"]], "Dog art": [["http://h/3.png"]]}
+
+    def fetch(query, page):
+        return [{"url": u, "title": "t"} for u in pages[query][page]] if page < len(pages[query]) else []
+
+    def client():
+        return lambda url: (images[url], "image/png")
+
+    quotas = tables.normalise_quotas(spark.createDataFrame([("1", "Cat", "2", "1-150"), ("2", "Dog", "1", "band1")], "Ranking string, Name string, q_r_base string, band string"))
+    import hashlib
+
+    present = spark.createDataFrame([("Dog", hashlib.md5(images["http://h/3.png"]).hexdigest())], "species string, image_id string")
+    kept, log, files = collect(spark, quotas, fetch, client, "art", "run", "2024-01-01T00:00:00Z", present, rate=None)
+    assert sorted((r["species"], r["source_url"], r["w"]) for r in kept.collect()) == [("Cat", "http://h/0.png", 130), ("Cat", "http://h/1.png", 130)]
+    status = {(r["url"], r["status"]) for r in log.where("status <> 'attempt'").collect()}
+    assert status == {("http://h/0.png", "saved"), ("http://h/small.png", "invalid_or_corrupt"), ("http://h/4.png", "duplicate_existing"), ("http://h/1.png", "saved"), ("http://h/2.png", "saved"), ("http://gone", "http_fail"), ("http://h/3.png", "duplicate_existing")}
+    assert log.where("status = 'attempt'").count() == 7 and all(r["path_raw"].startswith("data_raw/band1/0001_Cat/imgs/") for r in files.collect())
+
+
 def test_versions_logs_and_resume(spark, tmp_path):
     root = f"{tmp_path}/v"
     out.write_version(spark.range(3), root, "r1")
