@@ -6,22 +6,15 @@ Objects that repeat a key do not parse and count as unparseable.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from siltstone.functions import vocabulary as v
-from siltstone.functions.scalars import sentence, snake, truthy
+from siltstone.functions.scalars import bind, sentence, snake, truthy
 
 _NONE = "array<string>"
 
 
-def bind(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body(value)`` with ``value`` computed once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def empty_list() -> Column:
     return F.array().cast(_NONE)
 

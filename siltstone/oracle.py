@@ -106,7 +106,7 @@ SQL = {
     "upsert_only_missing": _upsert(f"{HAS_C} AND coalesce(trim(b.caption), '') = ''", f"{HAS_T} AND coalesce(trim(b.tags), '') = ''"),
     "upsert_require_all": _upsert(f"{HAS_C} AND {HAS_T}", f"{HAS_C} AND {HAS_T}"),
     "semi_mark": "SELECT c_custkey, c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT') AS urgent FROM customer",
-    "anti_drop": "SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL)",
+    "anti_drop": "SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')",
     "contains_drop": """WITH d AS (SELECT doc_id, md5(text) AS h, CASE WHEN doc_id % 5 = 0 THEN 'ocr' ELSE 'nsfw' END AS stage FROM documents)
       SELECT doc_id, stage FROM d WHERE NOT (stage = 'nsfw' AND h IN (SELECT h FROM d WHERE doc_id % 3 = 0))""",
     "md5_tokens": "SELECT DISTINCT lower(regexp_extract(text, '([a-fA-F0-9]{32})', 1)) AS id FROM documents WHERE regexp_matches(text, '[a-fA-F0-9]{32}')",
@@ -140,7 +140,7 @@ SQL = {
     "status_counts": """SELECT CASE WHEN page_id % 7 = 0 THEN 'http_fail' WHEN page_id % 5 = 0 THEN 'invalid_or_corrupt' WHEN page_id % 11 = 0 THEN 'duplicate_existing' WHEN page_id % 13 = 0 THEN 'io_error' ELSE 'saved' END AS status, count(*) AS n FROM pages GROUP BY 1""",
     "polygon_filter": """WITH b AS (SELECT l_orderkey, l_linenumber, l_discount, l_quantity AS w, l_linenumber * 5.0::DOUBLE AS h, l_tax * 100 AS k FROM lineitem),
       p AS (SELECT *, w * h AS area, 4 * pi() * (w * h) / pow(2 * (w + sqrt(k * k + h * h)), 2) AS circ, (CAST(trunc(w + k) AS INTEGER) + 1)::DOUBLE / (CAST(trunc(h) AS INTEGER) + 1) AS ar FROM b)
-      SELECT l_orderkey, l_linenumber, round(area, 4) AS area, round(circ, 6) AS circularity FROM p WHERE area >= 150 AND l_discount >= 0.035 AND NOT (area > 0 AND circ >= 0.78 AND ar BETWEEN 0.75 AND 1.33)""",
+      SELECT l_orderkey, l_linenumber, round(area, 4) AS area, l_discount AS conf FROM p WHERE area >= 150 AND l_discount >= 0.035 AND NOT (area > 0 AND circ >= 0.78 AND ar BETWEEN 0.75 AND 1.33)""",
     "size_parse": "SELECT p_partkey, CASE WHEN p_partkey % 4 = 0 AND p_size > 0 AND p_partkey > 0 THEN p_size END AS w, CASE WHEN p_partkey % 4 = 0 AND p_size > 0 AND p_partkey > 0 THEN CAST(p_partkey AS INTEGER) END AS h FROM part",
     "keyed_results": "SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN c_custkey * 2 END AS result FROM customer",
 }

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from siltstone.functions import documents as d
 from siltstone.functions import scalars as s
 from siltstone.operators import captions, dedup, groups, ledger, rank
+from siltstone.operators.media import text_boxes
 from siltstone.storage import materialize
 
 
@@ -170,8 +171,9 @@ def semi_mark(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def anti_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers without orders."""
-    return ledger.not_done(table(spark, sf_dir, "customer").select("c_custkey", "c_name"), table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey")), "c_custkey")
+    """Customers without urgent orders."""
+    urgent = table(spark, sf_dir, "orders").where("o_orderpriority = '1-URGENT'").select(F.col("o_custkey").alias("c_custkey"))
+    return ledger.not_done(table(spark, sf_dir, "customer").select("c_custkey", "c_name"), urgent, "c_custkey")
 
 
 def contains_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -303,9 +305,10 @@ def polygon_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Boxes from line items: rectangles sheared by the discount."""
     w, h, k = F.col("l_quantity"), F.col("l_linenumber") * 5.0, F.col("l_tax") * 100
     corners = F.array(F.array(F.lit(0.0), F.lit(0.0)), F.array(w, F.lit(0.0)), F.array(w + k, h), F.array(k, h))
-    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", s.polygon(corners).alias("p"), F.col("l_discount"))
-    kept = rows.where((F.col("p.area") >= 150) & (F.col("l_discount") >= 0.035) & ~s.is_round(F.col("p")))
-    return kept.select("l_orderkey", "l_linenumber", F.round("p.area", 4).alias("area"), F.round("p.circularity", 6).alias("circularity"))
+    boxes = F.array(F.struct(corners.alias("points"), F.col("l_discount").alias("conf")))
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", boxes.alias("boxes"))
+    kept = text_boxes(rows, least_conf=0.035).select("l_orderkey", "l_linenumber", F.explode("boxes").alias("b"))
+    return kept.select("l_orderkey", "l_linenumber", F.round("b.area", 4).alias("area"), F.col("b.conf").alias("conf"))
 
 
 def size_parse(spark: SparkSession, sf_dir: str) -> DataFrame:

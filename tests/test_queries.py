@@ -13,7 +13,7 @@ TABLES = "region nation customer supplier part orders lineitem events documents
 #: Queries that SQL cannot express, with the reason.
 WITHOUT_SQL = {"quota_split": "a greedy walk; see test_operators"}
 #: Queries that may be empty on the smallest tables.
-MAY_BE_EMPTY = {"md5_tokens", "anti_drop"}
+MAY_BE_EMPTY = {"md5_tokens"}
 
 
 @pytest.fixture(scope="session")
