@@ -25,5 +25,51 @@ FROM documents d LEFT JOIN counted c USING (doc_id) LEFT JOIN stays s USING (doc
 """
 
 
+LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+ALNUM = rf"regexp_extract_all({LOW}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+OP2 = f"""
+WITH dw AS (SELECT doc_id, {ALNUM} AS w FROM documents), iw AS (SELECT CAST(item_id AS VARCHAR) AS item, {ALNUM} AS w FROM benchmark),
+win AS (SELECT DISTINCT item, array_to_string(w[i:i + 7], ' ') AS s, least(8, len(w)) AS n FROM iw, unnest(range(1, greatest(1, len(w) - 7) + 1)) u(i) WHERE len(w) > 0),
+places AS (SELECT doc_id, i, l.n, array_to_string(w[i:i + l.n - 1], ' ') AS s FROM dw, (SELECT DISTINCT n FROM win) l, unnest(range(1, len(w) - l.n + 2)) u(i)),
+hits AS (SELECT doc_id, i, p.n, item FROM places p JOIN win ON p.s = win.s AND p.n = win.n),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id),
+covered AS (SELECT doc_id, count(DISTINCT j) AS n_hit FROM hits, unnest(range(i, i + n)) u(j) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_items, 0) >= 2 AS contaminated
+FROM dw LEFT JOIN items USING (doc_id) LEFT JOIN covered USING (doc_id)
+"""
+
+OP5 = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS body, strlen(coalesce(html, '')) AS n FROM pages), g AS (SELECT *, max(page_id) OVER (PARTITION BY body) AS last FROM p)
+SELECT page_id, n::BIGINT AS payload_bytes, sha1(body) AS payload_digest, CASE WHEN n >= 1000 AND page_id <> last THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN n >= 1000 AND page_id <> last THEN last END AS refers_to FROM g
+"""
+
+OP8 = rf"""
+WITH RECURSIVE dw AS (SELECT doc_id, regexp_extract_all({LOW}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS s FROM dw, unnest(range(1, greatest(1, len(w) - 3) + 1)) u(i) WHERE len(w) > 0),
+sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+both_have AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM sets a JOIN sets b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM both_have JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+reach AS (SELECT doc_id AS id, doc_id AS other FROM documents UNION SELECT r.id, CASE WHEN l.a = r.other THEN l.b ELSE l.a END FROM reach r JOIN links l ON l.a = r.other OR l.b = r.other)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, m.component_id, d.doc_id = m.component_id AS kept
+FROM documents d LEFT JOIN sizes USING (doc_id) JOIN (SELECT id, min(other) AS component_id FROM reach GROUP BY id) m ON m.id = d.doc_id
+"""
+
+
+def op6() -> str:
+    from siltstone.llm.urls import DEFAULT, PATTERN_RULES, SITE_RULES
+
+    host = "translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    fits = " ".join(f"WHEN ('.' || host) LIKE '%.{r.split('/', 1)[0]}' AND starts_with(path, '/{r.split('/', 1)[1]}') THEN '{r}'" for _, r in sorted(SITE_RULES, key=lambda x: -len(x[1])))
+    says = " ".join(f"WHEN '{r}' THEN '{v}'" for v, r in SITE_RULES)
+    blocked = " OR ".join(f"regexp_matches(lower(url), '{p}')" for _, p, _ in PATTERN_RULES)
+    return f"""
+WITH p AS (SELECT page_id, coalesce(url, '') AS url FROM pages), h AS (SELECT page_id, url, {host} AS host, regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM p),
+r AS (SELECT *, CASE {fits} END AS rule FROM h)
+SELECT page_id, host, path, rule, CASE rule {says} ELSE CASE WHEN {blocked} THEN 'block' ELSE '{DEFAULT}' END END AS verdict FROM r
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_line_dedup": OP3}
+    return {"op2_decontamination": OP2, "op3_line_dedup": OP3, "op5_warc": OP5, "op6_url_filter": op6(), "op8_near_duplicates": OP8}
