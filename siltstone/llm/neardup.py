@@ -11,9 +11,10 @@ Scale and skew:
 - documents with equal sets form a class first and are represented by the smallest id, so thousands of exact copies
   cost one signature from then on;
 - texts stay where they are until candidates are known; only ids, sizes and band hashes are shuffled;
-- inside a bucket no all pairs are emitted: members are compared with one leader (a star).  Components of what that
-  links are found, and only members of one bucket that are still in different components, and not yet compared, are
-  compared pairwise, so no link between different texts is lost;
+- inside a bucket no all pairs are emitted: members are compared with one leader (a star).  Where a bucket still holds
+  several components, its hub - the member with the best share of links so far - is the next leader, for a few rounds;
+- what is left unsettled is searched by an exact prefix filter on the shingles of those texts alone, so no link between
+  different texts of a bucket is lost and texts that only share a passage never meet;
 - components come from label propagation with pointer jumping over edge tables, never on the driver; every round is
   written to the shared folder, which cuts the lineage and survives lost executors.
 
@@ -33,9 +34,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siltstone.operators.components import components
 from siltstone.storage import bounded_batches, materialize
 
 BANDS, ROWS = 32, 5
+#: Rounds of comparing buckets with a better leader before the exact search for what is left.
+HUB_ROUNDS = 3
 
 
 class _WordHashes(dict):
@@ -152,26 +156,6 @@ def _confirm(k: int, percent: int):
     return run
 
 
-def components(edges: DataFrame, label: str = "components") -> DataFrame:
-    """(id, component) for the ends of ``edges`` (a, b): the smallest id that is reachable.
-
-    Each round takes the smallest label among a node and its neighbours, then follows that label once, which halves
-    the remaining paths.  A frequent node costs one combined row per task in the minimum, and Spark splits its edges in
-    the join.
-    """
-    both = materialize(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct(), label)
-    labels = materialize(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("id"), F.least("a", "m").alias("component")), label)
-    while True:
-        offers = both.join(labels, both.b == labels.id).groupBy("a").agg(F.min("component").alias("offer"))
-        taken = labels.join(offers, labels.id == offers.a, "left").select("id", F.col("component").alias("old"), F.least("component", F.coalesce("offer", "component")).alias("component"))
-        step = materialize(taken, label)
-        far = step.select(F.col("id").alias("_i"), F.col("component").alias("_c"))
-        jumped = materialize(step.join(far, F.col("component") == F.col("_i"), "left").select("id", "old", F.least("component", F.coalesce("_c", "component")).alias("component")), label)
-        labels = jumped.select("id", "component")
-        if jumped.where("component <> old").limit(1).count() == 0:
-            return labels
-
-
 def _verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int, label: str) -> DataFrame:
     """The pairs (a, b) whose sets are similar enough, and those that are not, with ``linked``."""
     ta, tb = texts.select(F.col("id").alias("a"), F.col("_text").alias("ta")), texts.select(F.col("id").alias("b"), F.col("_text").alias("tb"))
@@ -179,6 +163,69 @@ def _verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int, label: s
     return materialize(joined.mapInArrow(_confirm(k, percent), "a long, b long, linked boolean"), label)
 
 
+def _possible(x: Column, y: Column, percent: int) -> Column:
+    """Whether sets of these sizes can be similar at all."""
+    return F.least(x, y) * 100 >= F.greatest(x, y) * percent
+
+
+def _unsettled(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members (band, id, n, c) of buckets that still hold several components ``c``."""
+    told = members.join(labels, "id", "left").select("band", "id", "n", F.coalesce("component", "id").alias("c"))
+    mixed = told.groupBy("band").agg(F.min("c").alias("least"), F.max("c").alias("most")).where("least <> most").select("band")
+    return told.join(mixed, "band")
+
+
+def _hub_pairs(left: DataFrame, compared: DataFrame, percent: int) -> DataFrame:
+    """Pairs of each bucket's hub with its members of other components.
+
+    The hub is the member with the largest share of links among its comparisons so far: the text that others are
+    copies of is similar to nearly all that it met, while two copies of it are often just too different.
+    """
+    ends = compared.select(F.col("a").alias("id"), "linked").union(compared.select(F.col("b").alias("id"), "linked"))
+    share = ends.groupBy("id").agg((F.count_if("linked") / (F.count(F.lit(1)) + 2)).alias("share"))
+    rated = left.join(share, "id", "left").select("band", "id", "n", "c", F.coalesce("share", F.lit(0.0)).alias("share"))
+    hubs = rated.groupBy("band").agg(F.max(F.struct("share", (-F.col("id")).alias("i"), "id", "n", "c")).alias("hub")).select("band", "hub")
+    met = rated.join(hubs, "band").where((F.col("c") != F.col("hub.c")) & _possible(F.col("n"), F.col("hub.n"), percent))
+    pairs = met.select(F.col("hub.id").alias("a"), F.col("id").alias("b")).distinct()
+    known = compared.select("a", "b").union(compared.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    return pairs.join(known, ["a", "b"], "left_anti")
+
+
+def _prefix_pairs(left: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """All pairs a < b of different components that can be similar, by exact prefix filtering.
+
+    Sets of at least ``percent`` similarity share one of the rarest n - ceil(n * percent / 100) + 1 shingles of each.
+    Shingles that only one text has come first in that order and need no row, so texts that merely share a frequent
+    passage have nothing left to meet by.  Where two texts first meet, what is left of each (``rest``) bounds what they
+    share, and pairs that it leaves too little are not made: copies that all differ by more than a ninth never meet.
+    """
+    held = texts.join(left.select("id").distinct(), "id", "left_semi").mapInArrow(_sets(k), "id long, x long")
+    held = materialize(held, "shingles")
+    shared = held.groupBy("x").agg(F.count(F.lit(1)).alias("f")).where("f > 1")
+    common = held.join(shared, "x").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("f", "x"))).alias("common"))
+    alone = F.col("n") - F.size("common")
+    room = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - alone
+    first = F.slice("common", F.lit(1), F.greatest(F.lit(0), room).cast("int"))
+    prefixes = left.join(common, "id").select("id", "n", "c", alone.alias("alone"), F.posexplode(first).alias("p", "s"))
+    prefixes = materialize(prefixes.select("id", "n", "c", (F.col("n") - F.col("alone") - F.col("p")).alias("rest"), F.col("s.x").alias("x")), "prefixes")
+    u, v = prefixes.alias("u"), prefixes.alias("v")
+    enough = F.least("u.rest", "v.rest") * (100 + percent) >= (F.col("u.n") + F.col("v.n")) * percent
+    met = u.join(v, (F.col("u.x") == F.col("v.x")) & (F.col("u.c") < F.col("v.c")) & _possible(F.col("u.n"), F.col("v.n"), percent) & enough)
+    return met.select(F.least("u.id", "v.id").alias("a"), F.greatest("u.id", "v.id").alias("b")).distinct()
+
+
+def _sets(k: int):
+    """(id, shingle hash) rows of texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, text in zip(batch.column("id").to_pylist(), batch.column("_text").to_pylist()):
+                x = shingles(text, k).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), i, np.int64)), pa.array(x)], names=["id", "x"])
+
+    return run
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """One row per input row: the id, ``n_shingles``, ``component_id`` and ``kept`` (id = component_id)."""
     bounded_batches(docs.sparkSession)
@@ -192,22 +239,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     leaders = buckets.groupBy("band").agg(F.count(F.lit(1)).alias("members"), F.min(F.struct("id", "n")).alias("leader")).where("members > 1")
     members = materialize(buckets.join(leaders, "band").select("band", "id", "n", F.col("leader.id").alias("leader"), F.col("leader.n").alias("leader_n")), "members")
 
-    def possible(x: Column, y: Column) -> Column:
-        return F.least(x, y) * 100 >= F.greatest(x, y) * percent
-
     wanted = members.select(F.col("id").alias("_id")).distinct()
     texts = materialize(picked.where("_text IS NOT NULL").join(wanted, "_id").select(F.col("_id").alias("id"), "_text"), "texts")
-    star = members.where("id <> leader").where(possible(F.col("n"), F.col("leader_n"))).select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
+    star = members.where("id <> leader").where(_possible(F.col("n"), F.col("leader_n"), percent)).select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
     compared = _verified(star, texts, k, percent, "star")
+    members = members.select("band", "id", "n")
+    labels = components(compared.where("linked"))
+    for _ in range(HUB_ROUNDS):
+        left = materialize(_unsettled(members, labels), "unsettled")
+        fresh = _verified(_hub_pairs(left, compared, percent), texts, k, percent, "hubs")
+        compared = materialize(compared.union(fresh), "compared")
+        if fresh.where("linked").limit(1).count() == 0:
+            break
+        labels = components(compared.where("linked"))
+    left = _unsettled(members, labels).select("id", "n", "c").distinct()
+    rest = _prefix_pairs(materialize(left, "unsettled"), texts, k, percent).join(compared.select("a", "b"), ["a", "b"], "left_anti")
     links = compared.where("linked").select("a", "b")
-    labels = components(links)
-    # What a bucket holds of different components was not all compared: do that, without what the star has decided.
-    told = members.join(labels, "id", "left").select("band", "id", "n", F.coalesce("component", "id").alias("c"))
-    mixed = told.groupBy("band").agg(F.min("c").alias("least"), F.max("c").alias("most")).where("least <> most").select("band")
-    open_members = materialize(told.join(mixed, "band"), "open")
-    x, y = open_members.alias("x"), open_members.alias("y")
-    rest = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.c") < F.col("y.c")) & possible(F.col("x.n"), F.col("y.n")))
-    rest = rest.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct().join(compared.select("a", "b"), ["a", "b"], "left_anti")
     more = _verified(rest, texts, k, percent, "rest").where("linked").select("a", "b")
     # An id that comes with several texts ties the classes of these texts together.
     in_class = linkable.join(classes.select("mark", "id"), "mark").select("_id", "id")
