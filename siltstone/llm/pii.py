@@ -9,7 +9,8 @@ whoever holds the key can invert the map.
 Each document is handled by itself in the stage that reads it: no shuffle, no state, nothing to lose with an executor.
 
 Defined results: a null text stays null and an empty one empty; numbers that fail validation are left alone; where
-candidates overlap, the kind named first in ``KINDS`` wins; rows that repeat are treated alike; an empty table gives
+candidates overlap, the kind named first in ``KINDS`` wins; of the numbers with the same start, the first kind with a
+valid reading and its longest one, but a card number with both blanks and hyphens only where nothing else fits; rows that repeat are treated alike; an empty table gives
 an empty result; input columns with the names of added ones are replaced.
 """
 
@@ -213,23 +214,62 @@ class Pseudonyms:
         return self.spelled("secret", value)
 
 
-#: Numbers are tried in one pass; the name of the group is the kind.
-_NUMBERS = re.compile(
-    r"(?<![\w.+-])(?:"
-    r"(?P<iban>[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?)"
-    r"|(?P<card>\d(?:[ -]?\d){12,18})"
-    r"|(?P<ssn>\d{3}-\d{2}-\d{4})"
-    r"|(?P<phone>(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]?\d{4}|\+\d{9,15})"
-    r"|(?P<ip>\d{1,3}(?:\.\d{1,3}){3})"
-    r"|(?P<date>\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})"
-    r")(?![\w]|[.-]\d)",
-    re.ASCII,
-)
+#: The ways to write numbers, by kind, in order of precedence.
+_WRITTEN = {
+    "iban": r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?",
+    "card": r"\d(?:[ -]?\d){12,18}",
+    "ssn": r"\d{3}-\d{2}-\d{4}",
+    "phone": r"(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]?\d{4}|\+\d{9,15}",
+    "ip": r"\d{1,3}(?:\.\d{1,3}){3}",
+    "date": r"\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4}",
+}
+_LONGEST = 43  # characters of an IBAN in groups
+_ENDS = r"(?![\w]|[.-]\d)"
+#: The first reading at each start; the name of the group is the kind.
+_NUMBERS = re.compile(r"(?<![\w.+-])(?:" + "|".join(f"(?P<{k}>{p})" for k, p in _WRITTEN.items()) + ")" + _ENDS, re.ASCII)
+_END = re.compile(_ENDS, re.ASCII)
+_KINDS = {k: re.compile(p, re.ASCII) for k, p in _WRITTEN.items()}
 _EMAIL = re.compile(r"[^\s@<>\"'(),:;|\[\]]{1,64}@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _SECRET = re.compile(r"(?i:token|secret|passwo?r?d|api[_-]?key)[\"']?\s*[=:]\s*[\"']?([0-9A-Za-z+/_-]{16,})")
 _DIGIT = re.compile(r"[0-9]")
 
 
+def _mixed(kind: str, value: str) -> bool:
+    """A card number with blanks and hyphens is more likely two values side by side."""
+    return kind == "card" and " " in value and "-" in value
+
+
+def _numbers(text: str, names: Pseudonyms) -> Iterator[tuple[int, int, str, str]]:
+    """Valid numbers from left to right; a start without any valid reading takes nothing from what follows it."""
+    at = 0
+    while m := _NUMBERS.search(text, at):
+        begin, end = m.span()
+        kind, new = m.lastgroup, None if _mixed(m.lastgroup, m[0]) else names.replace(m.lastgroup, m[0])
+        if new is None:
+            for kind, end in _readings(text, begin):
+                if (new := names.replace(kind, text[begin:end])) is not None:
+                    break
+        if new is None:
+            at = begin + 1
+        else:
+            yield begin, end, kind, new
+            at = end
+
+
+def _readings(text: str, begin: int) -> Iterator[tuple[str, int]]:
+    """(kind, end) of all readings at one start: kinds in order, longer before shorter, mixed card numbers last."""
+    ends = [e for e in range(min(len(text), begin + _LONGEST), begin, -1) if _END.match(text, e)]
+    last = []
+    for kind, written in _KINDS.items():
+        for end in ends:
+            if written.fullmatch(text, begin, end):
+                if _mixed(kind, text[begin:end]):
+                    last.append((kind, end))
+                else:
+                    yield kind, end
+    yield from last
+
+
 def find(text: str, names: Pseudonyms) -> list[tuple[int, int, str, str]]:
     """(begin, end, kind, pseudonym) of all valid values, in order and without overlap."""
     found: list[tuple[int, int, str, str]] = []
@@ -246,8 +286,7 @@ def find(text: str, names: Pseudonyms) -> list[tuple[int, int, str, str]]:
         for m in _EMAIL.finditer(text):
             offer("email", *m.span())
     if _DIGIT.search(text):
-        for m in _NUMBERS.finditer(text):
-            offer(m.lastgroup, *m.span())
+        found += _numbers(text, names)
     if len(found) < 2:
         return found
     rank = {k: i for i, k in enumerate(KINDS)}

@@ -391,6 +391,37 @@ def test_pseudonyms_keep_format_and_invert():
     assert rewrite(text, find(text, Pseudonyms(b"key"))) == new != rewrite(text, find(text, Pseudonyms(b"other")))
 
 
+def test_values_side_by_side_are_all_found():
+    from siltstone.llm.pii import Pseudonyms, find
+
+    values = {
+        "card": ["4111 1111 1111 1111", "4111-1111-1111-1111", "4111111111111111", "378282246310005", "6011 0009 9013 9424"], "iban": ["ES91 2100 0418 4502 0005 1332", "BE68539007547034", "DE89 3704 0044 0532 0130 00"],
+        "ssn": ["123-45-6789"], "phone": ["212-555-0199", "+1 (202) 555-0143"], "ip": ["192.168.7.23"], "date": ["2024-01-05", "31/12/1999", "05.06.1987"],
+    }
+    names = Pseudonyms(b"key")
+
+    def spans(text):
+        return [(k, text[b:e]) for b, e, k, _ in find(text, names)]
+
+    for kind, of in values.items():
+        for v in of:
+            for tail in ("123", "12/27", "BIC", "IBAN", "2024", "9", "1 2 3"):
+                got = spans(f"pay {v} {tail}")
+                # Digits behind a card number may pass as part of it; the number never stays.
+                assert got == [(kind, v)] or (kind == "card" and got[0][0] == "card" and got[0][1].startswith(v)), (v, tail, got)
+    for a in ("ssn", "phone", "ip", "date", "iban"):
+        for b in values:
+            for x in values[a]:
+                for y in values[b]:
+                    assert spans(f"see {x} {y}.") == [(a, x), (b, y)], (x, y)
+    assert spans("x 123-45-6789 2024-01-05") == [("ssn", "123-45-6789"), ("date", "2024-01-05")]
+    assert spans("no 999 4111 1111 1111 1111") == [("card", "4111 1111 1111 1111")]
+    # Luhn holds over both values, and over a card number written with both marks.
+    assert any(spans(f"123-45-6789 2024-01-{d:02d}") != [("ssn", "123-45-6789"), ("date", f"2024-01-{d:02d}")] for d in range(1, 32)) is False
+    assert spans("4111 1111-1111 1111") == [("card", "4111 1111-1111 1111")]
+    assert spans("4111 1111 1111 1112 and 4111-1111-1111-1112 and 000-12-3456") == []
+
+
 def test_op10(spark, tables, docs):
     got = by_id(q.op10_toxicity(spark, tables))
     assert got.keys() == docs.keys()
