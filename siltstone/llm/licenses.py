@@ -134,12 +134,20 @@ GATE = ("licen", "public domain", " cc by ", "creative commons")
 
 @dataclass(frozen=True)
 class Signature:
-    """A rule over normalised words; ``pattern`` begins with a space and ends before one."""
+    """A rule over normalised words; ``pattern`` begins with a space and ends before one.
+
+    Every match holds the keyword, and where ``gated`` a string of ``GATE`` too.
+    """
 
     label: str
     keyword: str
     pattern: str
     weight: float
+    gated: bool = False
+
+
+def _gated(texts: tuple[str, ...]) -> bool:
+    return all(any(g in f" {t} " for g in GATE) for t in texts)
 
 
 def signatures() -> list[Signature]:
@@ -149,18 +157,18 @@ def signatures() -> list[Signature]:
         for label, keyword, names, versions in FAMILIES:
             tail = "" if not versions else "(?:(?: version)?(?: v)? (?:" + "|".join(versions) + "))?"
             spelled = (*names, *DECLARED_AS.get(label, ()))
-            out.append(Signature(label, keyword, f" {lead} (?:{'|'.join(spelled)}){tail}(?= )", weight))
-    out += [Signature(label, keyword, f" {pattern}(?= )", 0.8) for label, keyword, pattern in SENTENCES]
+            out.append(Signature(label, keyword, f" {lead} (?:{'|'.join(spelled)}){tail}(?= )", weight, "licen" in lead or _gated(spelled)))
+    out += [Signature(label, keyword, f" {pattern}(?= )", 0.8, "(" not in pattern and _gated((pattern,))) for label, keyword, pattern in SENTENCES]
     for label, keyword, names, versions in FAMILIES:
         if versions:
-            out.append(Signature(label, keyword, f" (?:{'|'.join(names)})(?: version)?(?: v)? (?:{'|'.join(versions)})(?= )", 0.7))
-    out += [Signature(label, keyword, f" (?:{'|'.join(names)})(?= )", 0.5) for label, keyword, names, _ in FAMILIES]
+            out.append(Signature(label, keyword, f" (?:{'|'.join(names)})(?: version)?(?: v)? (?:{'|'.join(versions)})(?= )", 0.7, _gated(names)))
+    out += [Signature(label, keyword, f" (?:{'|'.join(names)})(?= )", 0.5, _gated(names)) for label, keyword, names, _ in FAMILIES]
     return out
 
 
 def gate(rules: list[Signature]) -> list[str]:
     """Strings of which every text with a phrase or a signature has one."""
-    rest = {f" {r.keyword} " for r in rules if not any(g.strip() in r.pattern for g in GATE)}
+    rest = {f" {r.keyword} " for r in rules if not r.gated}
     return [*GATE, *sorted(rest)]
 
 

@@ -207,6 +207,23 @@ def test_license_detections_against_plain_search(spark):
         assert sorted((d["begin"], d["end"], d["rule"]) for d in got[i] or []) == sorted(kept), i
 
 
+def test_license_gate_opens_for_every_spelling(spark):
+    """Texts of one spelling only: the scan finds what all patterns with their keywords find."""
+    from siltstone.llm.licenses import DECLARED_AS, FAMILIES, SENTENCES, scan_licenses, signatures
+
+    leads = ("", "licensed under", "licenced under the terms of the", "released under", "distributed under the terms of", "spdx license identifier", "subject to the", "covered by")
+    texts = [f"x {lead} {n}{v} y" for lead in leads for label, _, names, versions in FAMILIES for n in (*names, *DECLARED_AS.get(label, ())) for v in ("", *(f" {x}" for x in versions[-1:]))]
+    texts = sorted({*texts, *(f"x {p} y" for _, _, p in SENTENCES if "(" not in p), "x released under BSD 3-clause y"})
+    got = {r["i"]: r for r in scan_licenses(spark.createDataFrame(list(enumerate(texts)), "i int, text string")).collect()}
+    rules = [(r.keyword, re.compile(r.pattern)) for r in signatures()]
+    for i, text in enumerate(texts):
+        flat = " " + " ".join(ALNUM_WORD.findall(low(text))) + " "
+        assert bool(got[i]["detections"]) == any(f" {k} " in flat and p.search(flat) for k, p in rules), text
+    said = {texts[i]: (r["labels"], r["score"]) for i, r in got.items()}
+    assert said["x released under mit y"] == ("mit", 0.95) and said["x subject to the isc y"] == ("isc", 0.9) and said["x distributed under the terms of apache 2 0 y"] == ("apache", 0.95)
+    assert said["x released under BSD 3-clause y"] == ("bsd", 0.95) and said["x  attribution noncommercial 4 0 y"] == ("cc-by-nc", 0.7)
+
+
 def test_op5(spark, tables):
     from siltstone.llm.warc import read_records, write_archives
 
