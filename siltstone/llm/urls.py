@@ -1,7 +1,7 @@
 """URL filters: pattern rules indexed by their rarest literal token.
 
 A rule is a host suffix with a path prefix, or a regular expression with the literal tokens that every match must
-hold.  How often each of these tokens occurs is counted over all URLs, and a rule is filed under its rarest one.  The
+hold.  Of a literal that may stand inside a longer token, its pieces of three characters are the tokens.  How often each of these tokens occurs is counted over all URLs, and a rule is filed under its rarest one.  The
 tokens of a URL fetch the rules filed under them, and only those candidates are tried, in order of priority: a longer
 host and path rule beats a shorter one, and any of them beats the patterns.
 
@@ -26,15 +26,16 @@ MOST_RULES = 5_000
 ADDED = ("host", "path", "rule", "verdict", "pattern")
 #: Rules by host and path.
 SITE_RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
-#: Further blocks by pattern: name, regular expression over the lower-cased URL, tokens that a match must hold.
+#: Further blocks by pattern: name, regular expression over the lower-cased URL, tokens that a match must hold; one
+#: between stars may be part of a longer token.
 PATTERN_RULES = (
-    ("adult-host", r"://([a-z0-9-]+\.)*[a-z0-9-]*adult-[a-z0-9-]*\.", ("adult",)),
+    ("adult-host", r"://([a-z0-9-]+\.)*[a-z0-9-]*adult-[a-z0-9-]*\.", ("*adult*",)),
     ("casino-win", r"://([a-z0-9-]+\.)*casino-win\.", ("casino", "win")),
     ("casino-any", r"[./-]casino[./-]", ("casino",)),
     ("free-bets", r"[./-]free-bets[./-]", ("free", "bets")),
     ("bets-path", r"://[^/]*/([^?#]*/)?bets(/|$)", ("bets",)),
     ("spam-farm", r"://([a-z0-9-]+\.)*spam-farm\.", ("spam", "farm")),
-    ("poker-host", r"://([a-z0-9-]+\.)*[a-z0-9-]*poker[a-z0-9-]*\.", ("poker",)),
+    ("poker-host", r"://([a-z0-9-]+\.)*[a-z0-9-]*poker[a-z0-9-]*\.", ("*poker*",)),
     ("porn", r"[./-]porn[./-]", ("porn",)),
     ("xxx", r"(\.xxx(/|$|:)|[./-]xxx[./-])", ("xxx",)),
     ("cheap-pills", r"[./-]cheap-pills[./-]", ("cheap", "pills")),
@@ -44,6 +45,7 @@ PATTERN_RULES = (
     ("executable", r"/[^?#]*\.exe([?#]|$)", ("exe",)),
 )
 DEFAULT = "allow"
+PIECE = 3
 
 
 @dataclass(frozen=True)
@@ -69,6 +71,18 @@ def tokens(text: Column) -> Column:
     return F.array_distinct(F.filter(F.split(text, "[^a-z0-9]+"), lambda t: t != ""))
 
 
+def pieces(found: Column) -> Column:
+    """All runs of ``PIECE`` characters in the tokens, between stars so that they differ from whole tokens."""
+    of = F.transform(F.filter(found, lambda t: F.length(t) >= PIECE), lambda t: F.transform(F.sequence(F.lit(1), F.length(t) - PIECE + 1), lambda i: F.concat(F.lit("*"), F.substr(t, i, F.lit(PIECE)), F.lit("*"))))
+    return F.array_distinct(F.flatten(of))
+
+
+def _indexed(needs: tuple[str, ...]) -> tuple[str, ...]:
+    """The tokens to file a rule under: whole ones as they are, the pieces of one between stars."""
+    inner = [t.strip("*") for t in needs if "*" in t]
+    return tuple(t for t in needs if "*" not in t) + tuple(f"*{t[i:i + PIECE]}*" for t in inner for i in range(len(t) - PIECE + 1))
+
+
 def compile_rules(site: tuple[tuple[str, str], ...] = SITE_RULES, patterns: tuple[tuple[str, str, tuple[str, ...]], ...] = PATTERN_RULES) -> list[UrlRule]:
     """All rules over the text ``<host> <path> <lower-cased url>``; the smallest rank wins."""
     out = []
@@ -77,7 +91,7 @@ def compile_rules(site: tuple[tuple[str, str], ...] = SITE_RULES, patterns: tupl
         pattern = rf"(?s)^([^ ]*\.)?{re.escape(at)} /{re.escape(prefix)}"
         out.append(UrlRule(rule, verdict, pattern, tuple(t for t in re.split("[^a-z0-9]+", at) if t), i, True))
     for name, pattern, needs in patterns:
-        out.append(UrlRule(name, "block", pattern, needs, len(out), False))
+        out.append(UrlRule(name, "block", pattern, _indexed(needs), len(out), False))
     if len(out) > MOST_RULES or not all(r.tokens for r in out):
         raise ValueError(f"at most {MOST_RULES} rules, each with a literal token")
     return out
@@ -92,7 +106,9 @@ def filter_urls(pages: DataFrame, url_col: str = "url", rules: list[UrlRule] | N
     split = pages.select(*[F.col(f"`{c}`").alias(f"_k{i}") for i, c in enumerate(kept)], host(url).alias("host"), path(url).alias("path"), F.lower(F.coalesce(url, F.lit(""))).alias("_low"))
     # Site rules index host labels, patterns index any token; spaces part the three sections of the text.
     text = F.concat_ws(" ", "host", F.translate("path", " ", "+"), F.translate("_low", " ", "+"))
-    seen = split.withColumn("_text", text).withColumn("_tokens", F.array_intersect(tokens(F.concat_ws(" ", "host", "_low")), F.array(*map(F.lit, needed))))
+    whole = tokens(F.concat_ws(" ", "host", "_low"))
+    held = F.concat(whole, pieces(whole)) if any("*" in t for t in needed) else whole
+    seen = split.withColumn("_text", text).withColumn("_tokens", F.array_intersect(held, F.array(*map(F.lit, needed))))
     counted = {r["t"]: r["n"] for r in seen.select(F.explode("_tokens").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per rule token
     index: dict[str, list[UrlRule]] = {}
     for rule in rules:

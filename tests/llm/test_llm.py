@@ -267,6 +267,21 @@ def test_op6(spark, tables):
     assert got[5006]["verdict"] == got[5002]["verdict"] == "block"
 
 
+def test_url_literals_inside_tokens(spark):
+    from siltstone.llm.urls import PATTERN_RULES, compile_rules, filter_urls
+
+    urls = [
+        "https://www.pokerstars.com/", "http://onlinepoker.net/x", "http://youngadult-pics.net/", "http://POKER.de", "http://my-poker-x.de/", "http://a.de/poker", "http://a.adult-b.de/", "http://adults.de/",
+        "http://po-ker.de/", "http://pok.oke.ker.de/", "http://casinos.de/", "http://a.de/bets", "", None, "poker", "http://xxpokerpoker.a.b.de:80/?adult-",
+    ]
+    got = {r["i"]: r for r in filter_urls(spark.createDataFrame(list(enumerate(urls)), "i int, url string")).collect()}
+    for i, u in enumerate(urls):
+        fits = [n for n, p, _ in PATTERN_RULES if re.search(p, (u or "").lower())]
+        assert (got[i]["pattern"], got[i]["verdict"]) == ((fits[0], "block") if fits else (None, got[i]["verdict"])), u
+    assert [got[i]["pattern"] for i in range(3)] == ["poker-host", "poker-host", "adult-host"]
+    assert all(r.tokens for r in compile_rules())
+
+
 def test_op7(spark, tables, docs):
     got = by_id(q.op7_mixing(spark, tables))
     assert got.keys() == docs.keys()
