@@ -150,19 +150,27 @@ def _gated(texts: tuple[str, ...]) -> bool:
     return all(any(g in f" {t} " for g in GATE) for t in texts)
 
 
+def _by_keyword(keyword: str, names: tuple[str, ...]) -> list[tuple[str, tuple[str, ...]]]:
+    """The names that hold the keyword under it, and each other name under itself."""
+    with_it = tuple(n for n in names if f" {keyword} " in f" {n} ")
+    return [(keyword, with_it)] * bool(with_it) + [(n, (n,)) for n in names if n not in with_it]
+
+
 def signatures() -> list[Signature]:
     """All rules in order of priority: declarations, sentences, versioned names, then bare names."""
     out: list[Signature] = []
     for lead, weight in DECLARATIONS:
+        declared = dict(DECLARED_AS)  # the short names go with the first family of their label
         for label, keyword, names, versions in FAMILIES:
             tail = "" if not versions else "(?:(?: version)?(?: v)? (?:" + "|".join(versions) + "))?"
-            spelled = (*names, *DECLARED_AS.get(label, ()))
-            out.append(Signature(label, keyword, f" {lead} (?:{'|'.join(spelled)}){tail}(?= )", weight, "licen" in lead or _gated(spelled)))
+            for word, spelled in _by_keyword(keyword, (*names, *declared.pop(label, ()))):
+                out.append(Signature(label, word, f" {lead} (?:{'|'.join(spelled)}){tail}(?= )", weight, "licen" in lead or _gated(spelled)))
     out += [Signature(label, keyword, f" {pattern}(?= )", 0.8, "(" not in pattern and _gated((pattern,))) for label, keyword, pattern in SENTENCES]
-    for label, keyword, names, versions in FAMILIES:
+    families = [(label, word, spelled, versions) for label, keyword, names, versions in FAMILIES for word, spelled in _by_keyword(keyword, names)]
+    for label, word, spelled, versions in families:
         if versions:
-            out.append(Signature(label, keyword, f" (?:{'|'.join(names)})(?: version)?(?: v)? (?:{'|'.join(versions)})(?= )", 0.7, _gated(names)))
-    out += [Signature(label, keyword, f" (?:{'|'.join(names)})(?= )", 0.5, _gated(names)) for label, keyword, names, _ in FAMILIES]
+            out.append(Signature(label, word, f" (?:{'|'.join(spelled)})(?: version)?(?: v)? (?:{'|'.join(versions)})(?= )", 0.7, _gated(spelled)))
+    out += [Signature(label, word, f" (?:{'|'.join(spelled)})(?= )", 0.5, _gated(spelled)) for label, word, spelled, _ in families]
     return out
 
 

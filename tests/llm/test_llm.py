@@ -224,6 +224,25 @@ def test_license_gate_opens_for_every_spelling(spark):
     assert said["x released under BSD 3-clause y"] == ("bsd", 0.95) and said["x  attribution noncommercial 4 0 y"] == ("cc-by-nc", 0.7)
 
 
+def test_license_spellings_without_keyword(spark):
+    """Every name in every family is found alone; detections are those of all patterns, whatever their keywords."""
+    from siltstone.llm.licenses import DECLARED_AS, FAMILIES, scan_licenses, signatures
+
+    names = [(label, n, label in DECLARED_AS and n in DECLARED_AS[label]) for label, _, of, _ in FAMILIES for n in (*of, *DECLARED_AS.get(label, ()))]
+    leads = ("", "licensed under", "released under the terms of", "spdx license identifier", "governed by the")
+    rows = [(label, f"{lead} {n}".strip()) for label, n, short in names for lead in leads if lead or not short]
+    got = {r["i"]: r for r in scan_licenses(spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "i int, text string")).collect()}
+    rules = [re.compile(r.pattern) for r in signatures()]
+    for i, (label, text) in enumerate(rows):
+        flat = f" {text} "
+        found = {(flat[: m.start()].count(" "), flat[: m.end()].count(" "), k) for k, p in enumerate(rules) for m in p.finditer(flat)}
+        kept = [x for x in found if not any(y != x and y[0] <= x[0] and x[1] <= y[1] and (y[:2] != x[:2] or y[2] < x[2]) for y in found)]
+        assert sorted((d["begin"], d["end"], d["rule"]) for d in got[i]["detections"] or []) == sorted(kept), text
+        assert label in got[i]["labels"].split(","), text
+    said = {t: got[i]["labels"] for i, (_, t) in enumerate(rows)}
+    assert (said["psf license agreement"], said["attribution noderivs"], said["licensed under x11"], said["licensed under bsl"]) == ("python", "cc-by-nd", "mit", "boost")
+
+
 def test_op5(spark, tables):
     from siltstone.llm.warc import read_records, write_archives
 
