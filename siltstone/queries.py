@@ -96,7 +96,7 @@ def near_dup_annotate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def embedding_bit_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Vectors whose sign bits differ in at most 20 places, 4 leading bits equal."""
+    """Vectors whose sign bits differ in 1 to 20 places, 4 leading bits equal; those with the same bits are no pair."""
     bits = F.aggregate("embedding", F.lit(0).cast("long"), lambda a, x: F.shiftleft(a, 1).bitwiseOR(F.when(x > 0, F.lit(1).cast("long")).otherwise(F.lit(0).cast("long"))))
     rows = materialize(table(spark, sf_dir, "embeddings").select("vec_id", bits.alias("h")), "bits")
     pairs = dedup.close_values(rows.select("h").distinct(), 20, 4)
