@@ -71,5 +71,25 @@ SELECT page_id, host, path, rule, CASE rule {says} ELSE CASE WHEN {blocked} THEN
 """
 
 
+OP7 = r"""
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size, md5(coalesce(text, '')) AS m FROM documents),
+h AS (SELECT doc_id, source, size, substr(md5(concat_ws('|', coalesce(CAST(doc_id AS VARCHAR), ''), CAST(size AS VARCHAR), m)), 1, 15) AS h FROM d),
+s AS (SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS i FROM h GROUP BY source),
+w AS (SELECT *, [5.0::DOUBLE, 2.0::DOUBLE, 1.0::DOUBLE][i % 3 + 1] AS w, source_size * 2.0::DOUBLE AS cap FROM s),
+-- In the order of cap / weight the full sources come first; the level is that of the first source it does not fill.
+f AS (SELECT *, coalesce(sum(cap) OVER (ORDER BY cap / w, i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS held, sum(w) OVER (ORDER BY cap / w, i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS open, sum(source_size) OVER () * 1.5::DOUBLE AS want FROM w),
+l AS (SELECT min_by((want - held) / open, (cap / w, i)) AS level FROM f WHERE (want - held) / open * w <= cap),
+t AS (SELECT source, source_size, i, least(cap, w * coalesce(level, 'infinity'::DOUBLE)) AS target FROM w, l),
+p AS (SELECT h.doc_id, h.size, t.source_size, t.target, i, sum(h.size) OVER (PARTITION BY h.source ORDER BY h.h, h.doc_id ROWS UNBOUNDED PRECEDING) - h.size / 2.0::DOUBLE AS middle FROM h JOIN t ON h.source IS NOT DISTINCT FROM t.source),
+n AS (SELECT *, CASE WHEN size > 0 AND middle <= target THEN middle / target END AS a, CASE WHEN size > 0 AND source_size + middle <= target THEN (source_size + middle) / target END AS b FROM p),
+-- The inverse of the integral of the schedules 1..1, 2..0.5 and 0.5..2.
+x AS (SELECT *, [1.0::DOUBLE, 2.0::DOUBLE, 0.5::DOUBLE][i % 3 + 1] AS c, [0.0::DOUBLE, -1.5::DOUBLE, 1.5::DOUBLE][i % 3 + 1] AS k FROM n)
+SELECT doc_id, size, source_size, target, ((a IS NOT NULL)::INTEGER + (b IS NOT NULL)::INTEGER) * size AS taken,
+  round(CASE WHEN a IS NULL OR k = 0 THEN a ELSE least(1.0, greatest(0.0, (sqrt(c * c + 2 * k * 1.25::DOUBLE * a) - c) / k)) END, 9) AS first_position,
+  round(CASE WHEN b IS NULL OR k = 0 THEN b ELSE least(1.0, greatest(0.0, (sqrt(c * c + 2 * k * 1.25::DOUBLE * b) - c) / k)) END, 9) AS second_position
+FROM x
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_decontamination": OP2, "op3_line_dedup": OP3, "op5_warc": OP5, "op6_url_filter": op6(), "op8_near_duplicates": OP8}
+    return {"op2_decontamination": OP2, "op3_line_dedup": OP3, "op5_warc": OP5, "op6_url_filter": op6(), "op7_mixing": OP7, "op8_near_duplicates": OP8}

@@ -58,7 +58,7 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from siltstone.llm.mixing import mix
 
     mixed = mix(read(spark, sf_dir, "documents"))
-    return mixed.select("doc_id", "size", "source_size", "target", "taken", F.get("positions", F.lit(0)).alias("first_position"), F.get("positions", F.lit(1)).alias("second_position"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", *[F.round(F.get("positions", F.lit(i)), 9).alias(f"{nth}_position") for i, nth in enumerate(("first", "second"))])
 
 
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -156,7 +156,7 @@ def test_op3(spark, tables, docs):
     assert got[9012]["text"] == "q\nr"
 
 
-@pytest.mark.parametrize("name", ["op2_decontamination", "op3_line_dedup", "op5_warc", "op6_url_filter", "op8_near_duplicates"])
+@pytest.mark.parametrize("name", ["op2_decontamination", "op3_line_dedup", "op5_warc", "op6_url_filter", "op7_mixing", "op8_near_duplicates"])
 def test_oracle(spark, name):
     import duckdb
     from siltstone.llm.oracle import oracle_sql
@@ -328,6 +328,18 @@ def test_op7(spark, tables, docs):
     assert by_id(q.op7_mixing(spark, tables)) == got
 
 
+def test_mix_order_does_not_depend_on_the_number_of_tasks(spark):
+    """Equal rows by the third, null ids and sources: the same rows come out for 1, 3 and 300 tasks."""
+    from siltstone.llm.mixing import mix
+
+    rows = [(i, f"w{i} " * (i % 17), f"s{i % 5}") for i in range(300)] + [(7, "same text here", "s1")] * 200 + [(None, "a b", None)] * 100
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    out = [sorted(map(repr, mix(docs, parts=n).collect())) for n in (1, 3, 300)]
+    assert out[0] == out[1] == out[2] and len(out[0]) == len(rows)
+    half = {r["source"]: r for r in mix(docs, share=10.0, most=1.5).groupBy("source", "source_size", "target").agg({"taken": "sum"}).collect()}
+    assert all(r["target"] == 1.5 * r["source_size"] and abs(r["sum(taken)"] - r["target"]) <= 17 for r in half.values())
+
+
 def test_schedule_is_inverted(spark):
     from pyspark.sql import functions as F
     from siltstone.llm.mixing import invert_schedule
