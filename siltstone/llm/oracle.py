@@ -60,12 +60,14 @@ FROM documents d LEFT JOIN sizes USING (doc_id) JOIN (SELECT id, min(other) AS c
 def op6() -> str:
     from siltstone.llm.urls import DEFAULT, PATTERN_RULES, SITE_RULES
 
-    host = "translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
-    fits = " ".join(f"WHEN ('.' || host) LIKE '%.{r.split('/', 1)[0]}' AND starts_with(path, '/{r.split('/', 1)[1]}') THEN '{r}'" for _, r in sorted(SITE_RULES, key=lambda x: -len(x[1])))
+    def low(x: str) -> str:
+        return f"translate({x}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+    fits = " ".join(f"WHEN ends_with('.' || host, '.{r.split('/', 1)[0]}') AND starts_with(path, '/{r.split('/', 1)[1]}') THEN '{r}'" for _, r in sorted(SITE_RULES, key=lambda x: -len(x[1])))
     says = " ".join(f"WHEN '{r}' THEN '{v}'" for v, r in SITE_RULES)
-    blocked = " OR ".join(f"regexp_matches(lower(url), '{p}')" for _, p, _ in PATTERN_RULES)
+    blocked = " OR ".join(f"regexp_matches(low, '{p}')" for _, p, _ in PATTERN_RULES)
     return f"""
-WITH p AS (SELECT page_id, coalesce(url, '') AS url FROM pages), h AS (SELECT page_id, url, {host} AS host, regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM p),
+WITH p AS (SELECT page_id, coalesce(url, '') AS url FROM pages), h AS (SELECT page_id, {low("url")} AS low, {low("regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1)")} AS host, regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM p),
 r AS (SELECT *, CASE {fits} END AS rule FROM h)
 SELECT page_id, host, path, rule, CASE rule {says} ELSE CASE WHEN {blocked} THEN 'block' ELSE '{DEFAULT}' END END AS verdict FROM r
 """

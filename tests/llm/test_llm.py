@@ -38,7 +38,8 @@ def tables(spark, tmp_path_factory):
     docs.unionByName(spark.createDataFrame(extra, docs.schema)).coalesce(2).write.parquet(f"{d}/documents.parquet")
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     big = "<p>" + "y" * 2000
-    more = [(5001, "http://A.Example.ORG/es/x?y#z", big), (5002, "https://spam-farm.example.net", big), (5003, None, None), (5004, "no scheme", big), (5005, "http://x.de", "small"), (5006, "HTTP://casino-win.de/a b", "small"), (5007, "http://org", "é" * 700)]
+    more = [(5001, "http://A.Example.ORG/es/x?y#z", big), (5002, "https://spam-farm.example.net", big), (5003, None, None), (5004, "no scheme", big), (5005, "http://x.de", "small"), (5006, "HTTP://casino-win.de/a b", "small"), (5007, "http://org", "é" * 700),
+        (5008, "http://x y.example.org/es/1", "s"), (5009, "http://a b.org/x", "s"), (5010, "http://example.org:80/es/", "s"), (5011, "http://\tsub.com/fr/\u00e9", "s"), (5012, "x://\u00c9cole.com/de/?a", "s"), (5013, "http://notexample.org/es/1", "s"), (5014, "http://EXAMPLE.org/EN/1", "s"), (5015, "http://.com/de/", "s"), (5016, "http://example.org/en/12", "s"), (5017, "\u212Aasino://casino.\u0130x.de/a", "s")]
     pages.unionByName(spark.createDataFrame(more, pages.schema)).coalesce(2).write.parquet(f"{d}/pages.parquet")
     for t in ("benchmark", "labels"):
         spark.read.parquet(f"{SF}/{t}.parquet").write.parquet(f"{d}/{t}.parquet")
@@ -279,11 +280,57 @@ def test_op6(spark, tables):
         host, path = (low(m[1]), m[2]) if m else ("", "")
         fits = [(len(x), v, x) for v, x in SITE_RULES if ("." + host).endswith("." + x.split("/", 1)[0]) and path.startswith("/" + x.split("/", 1)[1])]
         rule = max(fits)[2] if fits else None
-        block = any(re.search(p, (r["url"] or "").lower()) for _, p, _ in PATTERN_RULES)
+        block = any(re.search(p, low(r["url"])) for _, p, _ in PATTERN_RULES)
         verdict = max(fits)[1] if fits else "block" if block else "allow"
         g = got[r["page_id"]]
         assert (g["host"], g["path"], g["rule"], g["verdict"]) == (host, path, rule, verdict), r["url"]
     assert got[5006]["verdict"] == got[5002]["verdict"] == "block"
+    said = {i: (got[i]["rule"], got[i]["verdict"]) for i in range(5008, 5017)}
+    assert said[5008] == ("example.org/es/", "block") and said[5009] == ("org/", "allow") and said[5010][0] is None and said[5013] == ("org/", "allow") and said[5016] == ("example.org/en/1", "block")
+
+
+def test_url_patterns_hold_their_tokens(spark):
+    """Each pattern fires on a URL of its own, written from its name or given here, and its tokens are in that URL."""
+    from siltstone.llm.urls import PATTERN_RULES, compile_rules, filter_urls
+
+    urls = [u for n, p, needs in PATTERN_RULES for u in _spellings(n, [t.strip("*") for t in needs])]
+    got = filter_urls(spark.createDataFrame(list(enumerate(urls)), "i int, url string"), rules=compile_rules(site=())).collect()
+    for r in got:
+        fits = [n for n, p, _ in PATTERN_RULES if re.search(p, low(urls[r["i"]]))]
+        assert r["pattern"] == (fits[0] if fits else None), urls[r["i"]]
+    assert len({r["pattern"] for r in got}) > len(PATTERN_RULES) * 0.6
+
+
+def _spellings(name, needs):
+    for word in (name, "-".join(needs), *needs, *(f"{a}-{t}" for t in needs for a in ("buy", "cheap", "free", "x"))):
+        yield from (f"http://{word}.com/", f"https://a.{word}/", f"http://a.b.de/x/{word}/y", f"http://a.de/f.{word}", f"http://a.de/q?{word}=7", f"HTTP://www.{word}x.net:80/{word}?url=http:")
+
+
+def test_long_url_lists_are_joined_as_a_table(spark):
+    """50,000 rules and the table form of the short list, against a plain search over all rules."""
+    from siltstone.llm.urls import compile_rules, filter_urls
+
+    hosts = [f"h{i % 700}.{'com' if i % 3 else 'org'}" for i in range(50_000)]
+    site = [("block" if i % 2 else "allow", f"{h}/{'en' if i % 5 else 'de'}/p{i // 700}/") for i, h in enumerate(hosts)] + [("allow", "org/"), ("block", "com/en/p1")]
+    urls = [f"http://{'www.' * (i % 3)}h{i % 900}.{'com' if i % 2 else 'org'}/{'en' if i % 4 else 'de'}/p{i % 75}/{'casino/' * (i % 7 == 0)}x" for i in range(3000)] + [None, "", "x y://h1.com/en/p0/", "http://H1.COM/en/p0/q"] * 50
+    rules = compile_rules(tuple(site))
+    told = {}
+    for verdict, rule in site:
+        told.setdefault(rule, verdict)
+    got = filter_urls(spark.createDataFrame(list(enumerate(urls)), "i int, url string"), rules=rules).collect()
+    assert len(got) == len(urls)
+    for r in got:
+        m = re.match(r"(?s)^.*?://([^/?#]*)([^?#]*)", r["url"] or "")
+        h, p = (low(m[1]), m[2]) if m else ("", "")
+        labels, fits = h.split("."), []
+        for k in range(len(labels)):
+            at = ".".join(labels[k:])
+            fits += [f"{at}{p[:n]}" for n in range(1, len(p) + 1) if f"{at}{p[:n]}" in told]
+        best = max(fits, key=len, default=None)
+        assert r["rule"] == best and (best is None or r["verdict"] == told[best]), r["url"]
+    short = spark.createDataFrame(list(enumerate(u for u in urls)), "i int, url string")
+    one, two = (sorted(map(repr, filter_urls(short, literal_rules=n).collect())) for n in (0, 300))
+    assert one == two
 
 
 def test_url_literals_inside_tokens(spark):
@@ -295,7 +342,7 @@ def test_url_literals_inside_tokens(spark):
     ]
     got = {r["i"]: r for r in filter_urls(spark.createDataFrame(list(enumerate(urls)), "i int, url string")).collect()}
     for i, u in enumerate(urls):
-        fits = [n for n, p, _ in PATTERN_RULES if re.search(p, (u or "").lower())]
+        fits = [n for n, p, _ in PATTERN_RULES if re.search(p, low(u))]
         assert (got[i]["pattern"], got[i]["verdict"]) == ((fits[0], "block") if fits else (None, got[i]["verdict"])), u
     assert [got[i]["pattern"] for i in range(3)] == ["poker-host", "poker-host", "adult-host"]
     assert all(r.tokens for r in compile_rules())
