@@ -1,14 +1,17 @@
 """License scans by ordered signature rules.
 
-Several hundred signatures - regular expressions over normalised words - stand in order.  A text is only looked at
-closely when a cheap search for a few byte strings finds one; of the signatures, only those run whose keyword the text has.
-All detections are intervals of words.  A detection that lies inside another one is suppressed, and of two detections
-of the same interval the signature with the higher priority stays.  The rest gives the labels and the score.
+Several hundred signatures - regular expressions over normalised words - stand in order of priority: declarations
+("licensed under ..."), sentences of license texts, names with a version, bare names.  A text is only looked at closely
+when a cheap search for a few byte strings finds one; of the signatures, only those run whose needle - a keyword or a fixed stretch of words - the text has.
 
-All of it is expressions inside one row: no shuffle, no Python.  Signatures are read in order of their start with one
-running maximum, so suppression is linear in the number of detections.
+Signatures run on a copy of the text in which every word carries its number, so a match tells its own place and work is
+near linear in the number of matches.  Overlaps are settled in one sweep in text order: of two detections that share a word,
+the one of the higher class stays; in one class, one that lies inside another goes, and of two that only overlap the
+one earlier in the list stays.  A detection that lost against one that loses later does not come back.  What stays
+gives the labels and the score.
 
-Beside the signatures, plain phrases are counted wherever their words stand in a row; their labels always stay.
+All of it is expressions inside one row: no shuffle, no Python.  Beside the signatures, plain phrases are counted
+wherever their words stand in a row; their labels always stay.
 
 Defined results: a null text is empty; a text without words has no detection and score 0; rows that repeat are judged
 alike; an empty table gives an empty result; input columns with the names of added ones are replaced.
@@ -16,6 +19,8 @@ alike; an empty table gives an empty result; input columns with the names of add
 
 from __future__ import annotations
 
+import json
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -89,32 +94,174 @@ FAMILIES: tuple[tuple[str, str, tuple[str, ...], tuple[str, ...]], ...] = (
     ("cc-by", "cc", ("cc by",), ("2 0", "2 5", "3 0", "4 0")),
     ("cc-by", "creative", ("creative commons attribution", "creative commons attribution license"), ("2 0", "2 5", "3 0", "4 0")),
     ("cc-by-sa", "sharealike", ("creative commons attribution sharealike", "attribution sharealike"), ("2 0", "2 5", "3 0", "4 0")),
+    ("cc-by-sa", "alike", ("creative commons attribution share alike", "attribution share alike"), ("2 0", "2 5", "3 0", "4 0")),
     ("cc-by-nc", "noncommercial", ("creative commons attribution noncommercial", "attribution noncommercial"), ("2 0", "2 5", "3 0", "4 0")),
-    ("cc-by-nc-sa", "sharealike", ("attribution noncommercial sharealike",), ("2 0", "2 5", "3 0", "4 0")),
-    ("cc-by-nd", "noderivatives", ("attribution noderivatives", "attribution noderivs"), ("2 0", "2 5", "3 0", "4 0")),
+    ("cc-by-nc", "commercial", ("creative commons attribution non commercial", "attribution non commercial"), ("2 0", "2 5", "3 0", "4 0")),
+    ("cc-by-nc-sa", "sharealike", ("creative commons attribution noncommercial sharealike", "attribution noncommercial sharealike"), ("2 0", "2 5", "3 0", "4 0")),
+    ("cc-by-nc-sa", "alike", ("creative commons attribution noncommercial share alike", "creative commons attribution non commercial share alike", "attribution noncommercial share alike", "attribution non commercial share alike"), ("2 0", "2 5", "3 0", "4 0")),
+    ("cc-by-nd", "noderivatives", ("creative commons attribution noderivatives", "attribution noderivatives"), ("2 0", "2 5", "3 0", "4 0")),
+    ("cc-by-nd", "noderivs", ("creative commons attribution noderivs", "attribution noderivs"), ("2 0", "2 5", "3 0", "4 0")),
+    ("cc-by-nd", "derivatives", ("creative commons attribution no derivatives", "attribution no derivatives"), ("2 0", "2 5", "3 0", "4 0")),
+    ("cc-by-nc-nd", "noderivatives", ("creative commons attribution noncommercial noderivatives", "attribution noncommercial noderivatives"), ("2 0", "2 5", "3 0", "4 0")),
+    ("cc-by-nc-nd", "noderivs", ("creative commons attribution noncommercial noderivs", "attribution noncommercial noderivs"), ("2 0", "2 5", "3 0", "4 0")),
+    ("cc-by-nc-nd", "derivatives", ("creative commons attribution non commercial no derivatives", "creative commons attribution noncommercial no derivatives", "attribution non commercial no derivatives"), ("2 0", "2 5", "3 0", "4 0")),
     ("cc0", "cc0", ("cc0",), ("1 0",)),
     ("public-domain", "public", ("released into the public domain", "dedicated to the public domain", "placed in the public domain"), ()),
 )
 
-#: Sentences that stand for a license without naming it, or that tell who holds the rights: label, keyword, pattern.
-SENTENCES: tuple[tuple[str, str, str], ...] = (
-    ("mit", "permission", "permission is hereby granted free of charge to any person obtaining a copy"),
-    ("isc", "permission", "permission to use copy modify and or distribute this software for any purpose"),
-    ("bsd", "redistribution", "redistribution and use in source and binary forms with or without modification"),
-    ("apache", "apache", "you may not use this file except in compliance with the license"),
-    ("gpl", "redistribute", "you can redistribute it and or modify it under the terms of the gnu general public license"),
-    ("lgpl", "redistribute", "you can redistribute it and or modify it under the terms of the gnu lesser general public license"),
-    ("zlib", "altered", "altered source versions must be plainly marked as such"),
-    ("wtfpl", "want", "do what the fuck you want to public license"),
-    ("unlicense", "unencumbered", "free and unencumbered software released into the public domain"),
-    ("all-rights-reserved", "rights", "all rights reserved"),
-    ("proprietary", "confidential", "(?:proprietary and confidential|confidential and proprietary)"),
-    ("proprietary", "redistribution", "redistribution (?:is )?(?:strictly )?(?:prohibited|forbidden)"),
-    ("copyright", "copyright", "copyright (?:c )?(?:19|20)[0-9][0-9]"),
-    ("warranty", "warranty", "without warranty of any kind"),
-    ("spdx", "spdx", "spdx license identifier"),
-    ("cc-by-nc", "commercial", "for non commercial use only"),
-    ("copyleft", "copyleft", "copyleft"),
+#: Sentences of license texts and notices, by label, as normalised words.
+SENTENCES: tuple[tuple[str, str], ...] = (
+    ("mit", "permission is hereby granted free of charge to any person obtaining a copy"),
+    ("mit", "to deal in the software without restriction including without limitation the rights to use copy modify merge publish"),
+    ("mit", "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software"),
+    ("mit", "in no event shall the authors or copyright holders be liable for any claim damages or other liability"),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose"),
+    ("isc", "the software is provided as is and the author disclaims all warranties with regard to this software"),
+    ("bsd", "redistribution and use in source and binary forms with or without modification"),
+    ("bsd", "redistributions of source code must retain the above copyright notice"),
+    ("bsd", "redistributions in binary form must reproduce the above copyright notice"),
+    ("bsd", "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products"),
+    ("bsd", "all advertising materials mentioning features or use of this software must display the following acknowledgement"),
+    ("bsd", "this software is provided by the copyright holders and contributors as is"),
+    ("apache", "you may not use this file except in compliance with the license"),
+    ("apache", "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis"),
+    ("apache", "see the license for the specific language governing permissions and limitations under the license"),
+    ("apache", "licensed to the apache software foundation asf under one or more contributor license agreements"),
+    ("apache", "you must cause any modified files to carry prominent notices stating that you changed the files"),
+    ("apache", "each contributor hereby grants to you a perpetual worldwide non exclusive no charge royalty free irrevocable copyright license"),
+    ("gpl", "you can redistribute it and or modify it under the terms of the gnu general public license"),
+    ("gpl", "you should have received a copy of the gnu general public license along with this program"),
+    ("gpl", "see the gnu general public license for more details"),
+    ("gpl", "either version (?:1|2|3) of the license or at your option any later version"),
+    ("gpl", "this program comes with absolutely no warranty"),
+    ("gpl", "this is free software and you are welcome to redistribute it under certain conditions"),
+    ("gpl", "the licenses for most software are designed to take away your freedom to share and change it"),
+    ("gpl", "the gnu general public license is a free copyleft license for software and other kinds of works"),
+    ("gpl", "as a special exception the (?:free software foundation gives|copyright holders give) unlimited permission"),
+    ("lgpl", "you can redistribute it and or modify it under the terms of the gnu lesser general public license"),
+    ("lgpl", "you can redistribute it and or modify it under the terms of the gnu library general public license"),
+    ("lgpl", "you should have received a copy of the gnu lesser general public license along with this library"),
+    ("lgpl", "see the gnu lesser general public license for more details"),
+    ("lgpl", "this license the lesser general public license applies to some specially designated software packages"),
+    ("agpl", "you can redistribute it and or modify it under the terms of the gnu affero general public license"),
+    ("agpl", "you should have received a copy of the gnu affero general public license along with this program"),
+    ("agpl", "an opportunity to receive the corresponding source of your version by providing access to the corresponding source from a network server"),
+    ("gfdl", "permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation license"),
+    ("gfdl", "with no invariant sections no front cover texts and no back cover texts"),
+    ("mpl", "this source code form is subject to the terms of the mozilla public license"),
+    ("mpl", "if a copy of the mpl was not distributed with this file you can obtain one at"),
+    ("mpl", "the contents of this file are subject to the mozilla public license"),
+    ("mpl", "this source code form is incompatible with secondary licenses"),
+    ("epl", "this program and the accompanying materials are made available under the terms of the eclipse public license"),
+    ("epl", "all rights reserved this program and the accompanying materials are made available under the terms of the eclipse distribution license"),
+    ("cddl", "the contents of this file are subject to the terms of the common development and distribution license"),
+    ("cddl", "you can obtain a copy of the license at usr src opensolaris license"),
+    ("cpl", "the accompanying program is provided under the terms of this common public license"),
+    ("eupl", "licensed under the eupl version 1 (?:1|2) or as soon they will be approved by the european commission"),
+    ("artistic", "the intent of this document is to state the conditions under which a package may be copied"),
+    ("artistic", "you may make and give away verbatim copies of the source form of the standard version of this package without restriction"),
+    ("perl", "this library is free software you can redistribute it and or modify it under the same terms as perl itself"),
+    ("zlib", "altered source versions must be plainly marked as such"),
+    ("zlib", "this software is provided as is without any express or implied warranty in no event will the authors be held liable"),
+    ("zlib", "the origin of this software must not be misrepresented you must not claim that you wrote the original software"),
+    ("zlib", "this notice may not be removed or altered from any source distribution"),
+    ("boost", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation"),
+    ("boost", "distributed under the boost software license version 1 0"),
+    ("unlicense", "free and unencumbered software released into the public domain"),
+    ("unlicense", "anyone is free to copy modify publish use compile sell or distribute this software"),
+    ("unlicense", "the author or authors of this software dedicate any and all copyright interest in the software to the public domain"),
+    ("wtfpl", "do what the fuck you want to public license"),
+    ("wtfpl", "you just do what the fuck you want to"),
+    ("beer-ware", "as long as you retain this notice you can do whatever you want with this stuff"),
+    ("beer-ware", "if we meet some day and you think this stuff is worth it you can buy me a beer in return"),
+    ("json", "the software shall be used for good not evil"),
+    ("ofl", "this font software is licensed under the sil open font license"),
+    ("ofl", "the font software may be sold as part of a larger software package but no copy of one or more of the font software"),
+    ("ofl", "no modified version of the font software may use the reserved font name"),
+    ("odbl", "this database is made available under the open database license"),
+    ("odbl", "any rights in individual contents of the database are licensed under the database contents license"),
+    ("odc-by", "this database is made available under the open data commons attribution license"),
+    ("pddl", "this database is made available under the public domain dedication and license"),
+    ("python", "psf is making python available to licensee on an as is basis"),
+    ("python", "python software foundation all rights reserved"),
+    ("php", "this product includes php software freely available from"),
+    ("php", "this source file is subject to version 3 (?:0|01) of the php license"),
+    ("ruby", "you can redistribute it and or modify it under either the terms of the 2 clause bsdl"),
+    ("openssl", "this product includes software developed by the openssl project for use in the openssl toolkit"),
+    ("openssl", "this product includes cryptographic software written by eric young"),
+    ("postgresql", "permission to use copy modify and distribute this software and its documentation for any purpose without fee and without a written agreement is hereby granted"),
+    ("ms-pl", "if you use the software you accept this license if you do not accept the license do not use the software"),
+    ("osl", "licensed under the open software license version 3 0"),
+    ("afl", "licensed under the academic free license version 3 0"),
+    ("bsl", "the licensor hereby grants you the right to copy modify create derivative works redistribute and make non production use of the licensed work"),
+    ("bsl", "on the change date or the fourth anniversary of the first publicly available distribution"),
+    ("sspl", "making the functionality of the program or modified version available to third parties as a service"),
+    ("elastic", "you may not provide the software to third parties as a hosted or managed service"),
+    ("commons-clause", "the license does not grant to you and you may not sell the software"),
+    ("vim", "you may distribute unmodified copies of vim without restriction"),
+    ("tex", "this work may be distributed and or modified under the conditions of the latex project public license"),
+    ("tex", "this work has the lppl maintenance status"),
+    ("cecill", "this software is governed by the cecill license under french law and abiding by the rules of distribution of free software"),
+    ("cecill", "ce logiciel est régi par la licence cecill soumise au droit français"),
+    ("upl", "subject to the condition set forth below permission is hereby granted to any person obtaining a copy of this software associated documentation and or data"),
+    ("openrail", "use based restrictions as referenced in paragraph 5 must be included as an enforceable provision"),
+    ("openrail", "you agree not to use the model or derivatives of the model"),
+    ("llama", "built with (?:meta )?llama"),
+    ("llama", "llama (?:2|3|3 1|3 2|3 3) (?:is licensed under|community license)"),
+    ("gemma", "gemma is provided under and subject to the gemma terms of use"),
+    ("cc-by", "this work is licensed under a creative commons attribution (?:[0-9] [0-9] )?(?:international |unported |generic )?license"),
+    ("cc-by", "you must give appropriate credit provide a link to the license and indicate if changes were made"),
+    ("cc-by", "this article is distributed under the terms of the creative commons attribution"),
+    ("cc-by", "this is an open access article distributed under the terms of the creative commons attribution license"),
+    ("cc-by", "content is available under creative commons attribution"),
+    ("cc-by-sa", "this work is licensed under a creative commons attribution (?:share alike|sharealike)"),
+    ("cc-by-sa", "text is available under the creative commons attribution (?:share alike|sharealike) license"),
+    ("cc-by-sa", "if you remix transform or build upon the material you must distribute your contributions under the same license as the original"),
+    ("cc-by-nc", "this work is licensed under a creative commons attribution (?:non commercial|noncommercial)"),
+    ("cc-by-nc", "you may not use the material for commercial purposes"),
+    ("cc-by-nc", "for (?:non commercial|noncommercial) use only"),
+    ("cc-by-nc-nd", "this work is licensed under a creative commons attribution (?:non commercial|noncommercial) (?:no derivatives|noderivatives|noderivs)"),
+    ("cc-by-nc-sa", "this work is licensed under a creative commons attribution (?:non commercial|noncommercial) (?:share alike|sharealike)"),
+    ("cc-by-nd", "if you remix transform or build upon the material you may not distribute the modified material"),
+    ("cc0", "to the extent possible under law (?:the author|the person who associated cc0 with this work) has waived all copyright and related or neighboring rights"),
+    ("cc0", "no rights reserved"),
+    ("public-domain", "this (?:work|file|image|text|software|code) is in the public domain"),
+    ("public-domain", "no copyright is claimed"),
+    ("public-domain", "this work is a work of the united states government"),
+    ("gutenberg", "this ebook is for the use of anyone anywhere at no cost and with almost no restrictions whatsoever"),
+    ("gutenberg", "under the terms of the project gutenberg license included with this ebook"),
+    ("all-rights-reserved", "all rights reserved"),
+    ("all-rights-reserved", "tous droits réservés"),
+    ("all-rights-reserved", "alle rechte vorbehalten"),
+    ("all-rights-reserved", "todos los derechos reservados"),
+    ("all-rights-reserved", "no part of this (?:publication|book|work|site|website) may be reproduced"),
+    ("all-rights-reserved", "may not be reproduced distributed or transmitted in any form or by any means"),
+    ("all-rights-reserved", "unauthorized (?:copying|reproduction|duplication|use) of this (?:file|work|material|content|software) (?:via any medium )?is strictly prohibited"),
+    ("all-rights-reserved", "without the (?:prior|express|express prior) written (?:permission|consent) of the (?:publisher|author|copyright (?:holder|owner))"),
+    ("all-rights-reserved", "reproduction in whole or in part without (?:written )?permission is (?:strictly )?prohibited"),
+    ("proprietary", "proprietary and confidential"),
+    ("proprietary", "confidential and proprietary"),
+    ("proprietary", "redistribution (?:is )?(?:strictly )?(?:prohibited|forbidden)"),
+    ("proprietary", "this software is the (?:confidential and )?proprietary (?:information|property) of"),
+    ("proprietary", "you shall not disclose such confidential information"),
+    ("proprietary", "contains trade secrets and proprietary information"),
+    ("proprietary", "by installing copying or otherwise using the software you agree to be bound by the terms of this (?:eula|agreement)"),
+    ("proprietary", "end user license agreement"),
+    ("proprietary", "you may not reverse engineer decompile or disassemble"),
+    ("proprietary", "for internal use only"),
+    ("proprietary", "the software is licensed not sold"),
+    ("copyright", "copyright (?:c )?(?:by )?(?:19|20)[0-9][0-9]"),
+    ("copyright", "c (?:19|20)[0-9][0-9] all rights reserved"),
+    ("warranty", "without warranty of any kind"),
+    ("warranty", "without even the implied warranty of merchantability or fitness for a particular purpose"),
+    ("warranty", "the implied warranties of merchantability and fitness for a particular purpose are disclaimed"),
+    ("spdx", "spdx license identifier"),
+    ("spdx", "spdx (?:file)?copyrighttext"),
+    ("copyleft", "copyleft"),
+    ("dual", "dual licensed under"),
+    ("dual", "licensed under either of"),
+    ("dual", "at your option (?:under|either|any)"),
 )
 
 #: Ways in which a text declares a license, before its name, with the weight of such a detection.
@@ -128,21 +275,24 @@ DECLARATIONS: tuple[tuple[str, float], ...] = (
 
 #: Short names that only mean a license where the text declares one.
 DECLARED_AS = {"apache": ("apache",), "mit": ("mit", "x11"), "bsd": ("bsd",), "isc": ("isc",), "zlib": ("zlib",), "boost": ("bsl",)}
-#: Byte strings of which most signatures hold one; the keywords of the others join them in the gate.
-GATE = ("licen", "public domain", " cc by ", "creative commons")
+#: Byte strings of which most signatures hold one; the needles of the others join them in the gate.
+GATE = ("licen", "public domain", " cc by ", "creative commons", "copyright", "warrant", "rights reserved", "permission", "this software", "redistribut")
+#: Classes of signatures in order of priority.
+DECLARED, SENTENCE, VERSIONED, NAMED = range(4)
 
 
 @dataclass(frozen=True)
 class Signature:
     """A rule over normalised words; ``pattern`` begins with a space and ends before one.
 
-    Every match holds the keyword, and where ``gated`` a string of ``GATE`` too.
+    Every match holds the needle, and where ``gated`` a string of ``GATE`` too.
     """
 
     label: str
-    keyword: str
+    needle: str
     pattern: str
     weight: float
+    tier: int
     gated: bool = False
 
 
@@ -156,30 +306,44 @@ def _by_keyword(keyword: str, names: tuple[str, ...]) -> list[tuple[str, tuple[s
     return [(keyword, with_it)] * bool(with_it) + [(n, (n,)) for n in names if n not in with_it]
 
 
+def _sentence(label: str, pattern: str) -> Signature:
+    """Its needle is the longest stretch outside groups and classes of characters."""
+    fixed = f" {pattern} "
+    while (bare := re.sub(r"\([^()]*\)\??|\[[^]]*\]", "|", fixed)) != fixed:
+        fixed = bare
+    needle = max(fixed.split("|"), key=len)
+    return Signature(label, needle, f" {pattern}(?= )", 0.8, SENTENCE, any(g in needle for g in GATE))
+
+
 def signatures() -> list[Signature]:
     """All rules in order of priority: declarations, sentences, versioned names, then bare names."""
     out: list[Signature] = []
-    for lead, weight in DECLARATIONS:
-        declared = dict(DECLARED_AS)  # the short names go with the first family of their label
-        for label, keyword, names, versions in FAMILIES:
-            tail = "" if not versions else "(?:(?: version)?(?: v)? (?:" + "|".join(versions) + "))?"
-            for word, spelled in _by_keyword(keyword, (*names, *declared.pop(label, ()))):
-                out.append(Signature(label, word, f" {lead} (?:{'|'.join(spelled)}){tail}(?= )", weight, "licen" in lead or _gated(spelled)))
-    out += [Signature(label, keyword, f" {pattern}(?= )", 0.8, "(" not in pattern and _gated((pattern,))) for label, keyword, pattern in SENTENCES]
+    declared = {label: list(short) for label, short in DECLARED_AS.items()}  # the short names go with the first family of their label
+    lead = "(?:" + "|".join(said for said, _ in DECLARATIONS) + ")"
+    for label, keyword, names, versions in FAMILIES:
+        tail = "" if not versions else "(?:(?: version)?(?: v)? (?:" + "|".join(versions) + "))?"
+        for word, spelled in _by_keyword(keyword, (*names, *declared.pop(label, ()))):
+            out.append(Signature(label, f" {word} ", f" {lead} (?:{'|'.join(spelled)}){tail}(?= )", 0.9, DECLARED, _gated(spelled)))
+    out += [_sentence(label, pattern) for label, pattern in SENTENCES]
     families = [(label, word, spelled, versions) for label, keyword, names, versions in FAMILIES for word, spelled in _by_keyword(keyword, names)]
     for label, word, spelled, versions in families:
         if versions:
-            out.append(Signature(label, word, f" (?:{'|'.join(spelled)})(?: version)?(?: v)? (?:{'|'.join(versions)})(?= )", 0.7, _gated(spelled)))
-    out += [Signature(label, word, f" (?:{'|'.join(spelled)})(?= )", 0.5, _gated(spelled)) for label, word, spelled, _ in families]
+            out.append(Signature(label, f" {word} ", f" (?:{'|'.join(spelled)})(?: version)?(?: v)? (?:{'|'.join(versions)})(?= )", 0.7, VERSIONED, _gated(spelled)))
+    out += [Signature(label, f" {word} ", f" (?:{'|'.join(spelled)})(?= )", 0.5, NAMED, _gated(spelled)) for label, word, spelled, _ in families]
     return out
 
 
 def gate(rules: list[Signature]) -> list[str]:
     """Strings of which every text with a phrase or a signature has one."""
-    rest = {f" {r.keyword} " for r in rules if not r.gated}
+    rest = {r.needle for r in rules if not r.gated}
     return [*GATE, *sorted(rest)]
 
 
+def numbered(pattern: str) -> str:
+    """The pattern over words that carry their numbers."""
+    return pattern.removesuffix("(?= )").replace(" ", " [0-9]+:") + "(?= )"
+
+
 def normalised(text: Column) -> Column:
     """Words in lower case with one space between and around them; one space without words."""
     low = F.translate(text, ASCII_UPPER, ASCII_UPPER.lower())
@@ -206,37 +370,78 @@ def base_places(flat: Column) -> dict[str, Column]:
     }
 
 
-def detections(flat: Column, rules: list[Signature]) -> Column:
-    """Detections that no other one contains, by start: (begin, end, rule, label, weight), places in words."""
-    table = F.array(*[F.struct(F.lit(i).alias("rank"), F.lit(r.label).alias("label"), F.lit(r.keyword).alias("keyword"), F.lit(r.pattern).alias("pattern"), F.lit(r.weight).alias("weight")) for i, r in enumerate(rules)])
+def _declared_weight(hit: Column) -> Column:
+    """Weight of a declaration by the way in which it declares."""
+    bare = F.regexp_replace(hit, "[0-9]+:", "")
+    out = F.lit(DECLARATIONS[-1][1])
+    for said, weight in reversed(DECLARATIONS[:-1]):
+        out = F.when(bare.rlike(f"^ {said} "), F.lit(weight)).otherwise(out)
+    return out
 
-    def of_rule(r: Column) -> Column:
-        """Starts come from the words of the pieces between matches, ends from the words of the matches."""
-        pieces, hits = F.split(flat, r["pattern"], -1), F.regexp_extract_all(flat, r["pattern"], F.lit(0))
-        sizes = F.transform(hits, lambda h, i: F.struct(i.alias("i"), spaces(h).cast("int").alias("n")))
-        gaps = F.transform(pieces, lambda p: spaces(p).cast("int"))
-        return bind(F.struct(sizes.alias("s"), gaps.alias("g")), lambda x: F.filter(F.aggregate(
-            x["s"],
-            F.array(F.struct(F.lit(0).alias("begin"), F.lit(0).alias("end"))),
-            lambda out, s: F.concat(out, F.array(F.struct(
-                (F.element_at(out, -1)["end"] + F.get(x["g"], s["i"])).alias("begin"), (F.element_at(out, -1)["end"] + F.get(x["g"], s["i"]) + s["n"]).alias("end"))))),
-            lambda d: d["end"] > 0,
-        ))
-
-    def spelled(r: Column) -> Column:
-        return F.transform(of_rule(r), lambda d: F.struct(d["begin"].alias("begin"), (-d["end"]).alias("minus_end"), r["rank"].alias("rank"), r["label"].alias("label"), r["weight"].alias("weight")))
-
-    matching = F.filter(table, lambda r: flat.contains(F.concat(F.lit(" "), r["keyword"], F.lit(" "))))
-
-    def outermost(found: Column) -> Column:
-        none = F.filter(found, lambda d: F.lit(False))
-        return F.aggregate(
-            found, F.struct(F.lit(0).alias("most"), none.alias("out")),
-            lambda s, d: F.when(-d["minus_end"] <= s["most"], s).otherwise(F.struct((-d["minus_end"]).alias("most"), F.concat(s["out"], F.array(d)).alias("out"))),
-            lambda s: F.transform(s["out"], lambda d: F.struct(d["begin"].alias("begin"), (-d["minus_end"]).alias("end"), d["rank"].alias("rule"), d["label"].alias("label"), d["weight"].alias("weight"))),
+
+def _settled(found: Column) -> Column:
+    """One sweep over detections sorted by (begin, -end, rule): what overlaps a better one goes.
+
+    An accumulator is copied at every step, so one that grows with the matches would cost their square.  The sweep runs
+    over chunks of about n ** (1/3): a first pass, which only holds the open detection, tells with which one each chunk
+    begins; a second pass lets every chunk list what it closes.
+    """
+    none = F.filter(found, lambda d: F.lit(False))
+
+    def apart(last: Column, d: Column) -> Column:
+        return last.isNull() | (d["begin"] >= -last["minus_end"])
+
+    def better(last: Column, d: Column) -> Column:
+        return (d["tier"] < last["tier"]) | ((d["tier"] == last["tier"]) & (d["minus_end"] < last["minus_end"]) & (d["rank"] < last["rank"]))
+
+    def open_after(last: Column, d: Column) -> Column:
+        return F.when(apart(last, d) | better(last, d), d).otherwise(last)
+
+    def closing(s: Column, d: Column) -> Column:
+        closed = apart(s["last"], d) & s["last"].isNotNull()
+        return F.struct(open_after(s["last"], d).alias("last"), F.when(closed, F.concat(s["out"], F.array(s["last"]))).otherwise(s["out"]).alias("out"))
+
+    def over(chunks: Column) -> Column:
+        begun = F.aggregate(
+            chunks, F.struct(F.get(none, F.lit(0)).alias("last"), none.alias("out")),
+            lambda s, c: F.struct(F.aggregate(c, s["last"], open_after).alias("last"), F.concat(s["out"], F.array(s["last"])).alias("out")),
+            lambda s: F.concat(s["out"], F.array(s["last"])),
         )
+        return bind(begun, lambda b: F.concat(
+            F.flatten(F.transform(chunks, lambda c, i: F.aggregate(c, F.struct(F.get(b, i).alias("last"), none.alias("out")), closing, lambda s: s["out"]))), F.array(F.element_at(b, -1))))
+
+    size = F.greatest(F.lit(16), F.ceil(F.cbrt(F.size(found))).cast("int"))
+    chunks = F.transform(F.sequence(F.lit(0), F.floor((F.size(found) - 1) / size).cast("int")), lambda i: F.slice(found, i * size + 1, size))
+    return bind(chunks, over)
+
+
+def detections(flat: Column, words: Column, rules: list[Signature]) -> Column:
+    """Detections that no better one overlaps, by start: (begin, end, rule, label, weight), places in words.
+
+    ``words`` is the text with numbered words; a match begins with the number of its first word.
+    """
+    # One text literal that the optimizer folds into an array; a column for each rule would make planning slow.
+    listed = json.dumps([{"rank": i, "tier": r.tier, "needle": r.needle, "pattern": numbered(r.pattern), "weight": r.weight} for i, r in enumerate(rules)])
+    table = F.from_json(F.lit(listed), "array<struct<rank: int, tier: int, needle: string, pattern: string, weight: double>>")
+    labels = F.from_json(F.lit(json.dumps([r.label for r in rules])), "array<string>")
+
+    def of_rule(r: Column) -> Column:
+        def hit(h: Column) -> Column:
+            begin = F.substring_index(F.substring(h, 2, 12), ":", 1).cast("int")
+            weight = F.when(r["tier"] == DECLARED, _declared_weight(h)).otherwise(r["weight"])
+            return F.struct(begin.alias("begin"), (-(begin + spaces(h).cast("int"))).alias("minus_end"), r["rank"].alias("rank"), r["tier"].alias("tier"), weight.alias("weight"))
+
+        return F.transform(F.regexp_extract_all(words, r["pattern"], F.lit(0)), hit)
+
+    matching = F.filter(table, lambda r: flat.contains(r["needle"]))
+    sorted_ = F.sort_array(F.flatten(F.transform(matching, of_rule)))
+    kept = bind(sorted_, lambda found: F.when(F.size(found) > 0, _settled(found)).otherwise(found))
+    return F.transform(kept, lambda d: F.struct(d["begin"].alias("begin"), (-d["minus_end"]).alias("end"), d["rank"].alias("rule"), F.get(labels, d["rank"]).alias("label"), d["weight"].alias("weight")))
+
 
-    return bind(F.sort_array(F.flatten(F.transform(matching, spelled))), outermost)
+def numbered_words(flat: Column) -> Column:
+    """`` word word `` as `` 0:word 1:word ``."""
+    return F.concat(F.lit(" "), F.array_join(F.transform(F.split(F.trim(flat), " "), lambda w, i: F.concat(i.cast("string"), F.lit(":"), w)), " "), F.lit(" "))
 
 
 def scan_licenses(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None, rules: list[Signature] | None = None) -> DataFrame:
@@ -252,7 +457,8 @@ def scan_licenses(docs: DataFrame, text_col: str = "text", keep: list[str] | Non
         opened = opened | flat.contains(word)
     gated = picked.select(*keys, normalised(F.col("_text")).alias("_flat")).select(*keys, "_flat", opened.alias("_gate"))
     based = gated.select(*keys, "_flat", "_gate", F.when(flat == "  ", F.lit(0)).otherwise(spaces(flat) - 1).cast("long").alias("n_words"), *[F.when(F.col("_gate"), v).alias(k) for k, v in base_places(flat).items()])
-    found = based.withColumn("detections", F.when(F.col("_gate"), detections(flat, rules)))
+    listed = based.withColumn("_words", F.when(F.col("_gate"), numbered_words(flat)))
+    found = listed.withColumn("detections", F.when(F.col("_gate"), detections(flat, F.col("_words"), rules)))
     empty = F.array().cast("array<string>")
     base = F.coalesce("_base", empty)
     own = F.coalesce(F.transform("detections", lambda d: d["label"]), empty)
