@@ -18,15 +18,11 @@ from pyspark.sql import functions as F
 
 from siltstone.functions.scalars import list_of, number, parse_size, suffix_of, text
 from siltstone.functions.vocabulary import SHARD_EXTENSIONS
-from siltstone.storage import bounded_batches
+from siltstone.storage import bounded_batches, open_fs
 
 STATUS = pa.schema([("path", pa.string()), ("status", pa.string()), ("length", pa.int64())])
 
 
-def open_fs(path: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(path if "://" in path else "file://" + path.removeprefix("file:"))
-
-
 def put(store: fs.FileSystem, path: str, data: bytes) -> None:
     store.create_dir(path.rsplit("/", 1)[0], recursive=True)
     fresh = f"{path}.{uuid.uuid4().hex}.tmp"
