@@ -26,11 +26,10 @@ from collections.abc import Iterator
 from urllib.parse import quote, unquote
 
 import pyarrow as pa
-from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.storage import bounded_batches, materialize, scratch_path
+from siltstone.storage import bounded_batches, materialize, open_fs, scratch_path
 
 REVISIT_BYTES = 1000
 #: Reads are merged across gaps of this many bytes, up to this many bytes a read.
@@ -38,10 +37,6 @@ GAP_BYTES, READ_BYTES = 64 << 10, 8 << 20
 INDEX = "file string, offset long, length long, url string, digest string, record_type string"
 
 
-def _open(path: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(path) if "://" in path else (fs.FileSystem.from_uri("file://" + path.removeprefix("file:")))
-
-
 def record(page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None, revisit: bool) -> bytes:
     """One WARC/1.1 record; a revisit has no payload but tells the size and digest of the full one."""
     body = b"" if revisit else payload
@@ -70,7 +65,7 @@ def parse(raw: bytes) -> tuple[dict[str, str], bytes]:
 
 def _writer(folder: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, base = _open(folder)
+        store, base = open_fs(folder)
         out, offset, name = None, 0, f"{uuid.uuid4().hex}.warc.gz"
         try:
             for batch in batches:
@@ -140,7 +135,7 @@ def _reader(with_payload: bool):
                 if file != opened:
                     if source is not None:
                         source.close()
-                    store, path = _open(file)
+                    store, path = open_fs(file)
                     source, opened = store.open_input_file(path), file
                 block = source.read_at(length, begin)
                 out = {k: [] for k in ("page_id", "url", "payload", "payload_bytes", "payload_digest", "record_type", "refers_to")}
