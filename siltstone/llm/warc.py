@@ -1,8 +1,9 @@
 """WARC archives: write with an index first, then read selected records by coalesced byte ranges.
 
-Writing appends one gzip member per record to an archive file per task and emits one index row per record: file,
-offset, length, URL and digest.  Reading starts from the index: the rows that a query selects are sorted by file and
-offset, neighbouring ranges are merged while the gap between them is small, and each merged range is one read.
+Writing appends one gzip member per record to an archive of the task, begins a new archive when one is full, and emits
+one index row per record: file, offset, length, URL and digest.  Reading starts from the index: the rows that a query
+selects are dealt in stretches of bytes over enough tasks, sorted by file and offset, neighbouring ranges are merged
+while the gap between them is small, and each merged range is one read.
 
 Equal payloads of at least ``REVISIT_BYTES`` are stored once.  Only digests and ids are shuffled to find them; groups
 with one member drop out before anything is joined, so the payloads themselves move only when many pages repeat (Spark
@@ -34,20 +35,24 @@ from siltstone.storage import bounded_batches, materialize, open_fs, scratch_pat
 REVISIT_BYTES = 1000
 #: Reads are merged across gaps of this many bytes, up to this many bytes a read.
 GAP_BYTES, READ_BYTES = 64 << 10, 8 << 20
+#: A full archive, and the stored bytes that one task reads.
+ARCHIVE_BYTES, TASK_BYTES = 1 << 30, 128 << 20
 INDEX = "file string, offset long, length long, url string, digest string, record_type string"
 
 
-def record(page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None, revisit: bool) -> bytes:
+def record(record_id: str, page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None, revisit: bool) -> bytes:
     """One WARC/1.1 record; a revisit has no payload but tells the size and digest of the full one."""
     body = b"" if revisit else payload
-    head = ["WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: <urn:page:{'' if page_id is None else page_id}>", "WARC-Date: 1970-01-01T00:00:00Z"]
+    head = ["WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: <urn:uuid:{record_id}>", "WARC-Date: 1970-01-01T00:00:00Z"]
+    if page_id is not None:
+        head.append(f"X-Page-ID: {page_id}")
     if url is not None:
         head.append("WARC-Target-URI: " + quote(url, safe=":/?#[]@!$&'()*+,;=-._~%"))
         head.append("X-Target-Escaped: " + quote(url, safe=""))
     head.append("WARC-Payload-Digest: sha1:" + base64.b32encode(bytes.fromhex(digest)).decode())
     head.append(f"X-Payload-Length: {len(payload)}")
     if revisit:
-        head += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: <urn:page:{refers_to}>"]
+        head += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"X-Refers-To-Page-ID: {refers_to}"]
     head += ["Content-Type: text/html; charset=utf-8", f"Content-Length: {len(body)}"]
     return "\r\n".join(head).encode() + b"\r\n\r\n" + body + b"\r\n\r\n"
 
@@ -63,24 +68,29 @@ def parse(raw: bytes) -> tuple[dict[str, str], bytes]:
     return fields, rest[:length]
 
 
-def _writer(folder: str):
+def _writer(folder: str, archive_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = open_fs(folder)
-        out, offset, name = None, 0, f"{uuid.uuid4().hex}.warc.gz"
+        out, offset, name, n = None, 0, "", 0
         try:
             for batch in batches:
                 rows = {k: [] for k in ("file", "offset", "length", "url", "digest", "record_type")}
                 columns = (batch.column(n).to_pylist() for n in ("page_id", "url", "payload", "digest", "refers_to", "revisit"))
                 for page_id, url, payload, digest, refers_to, revisit in zip(*columns):
+                    if out is not None and offset >= archive_bytes:
+                        out.close()
+                        out = None
                     if out is None:
                         store.create_dir(base, recursive=True)
+                        of, offset, n = uuid.uuid4(), 0, 0
+                        name = f"{of.hex}.warc.gz"
                         out = store.open_output_stream(f"{base}/{name}", compression=None)
                     packer = zlib.compressobj(1, zlib.DEFLATED, 31)
-                    member = packer.compress(record(page_id, url, payload, digest, refers_to, revisit)) + packer.flush()
+                    member = packer.compress(record(str(uuid.uuid5(of, str(n))), page_id, url, payload, digest, refers_to, revisit)) + packer.flush()
                     out.write(member)
                     for k, v in zip(rows, (f"{folder}/{name}", offset, len(member), url, digest, "revisit" if revisit else "response")):
                         rows[k].append(v)
-                    offset += len(member)
+                    offset, n = offset + len(member), n + 1
                 yield pa.RecordBatch.from_pydict(rows, schema=pa.schema([("file", pa.string()), ("offset", pa.int64()), ("length", pa.int64()), ("url", pa.string()), ("digest", pa.string()), ("record_type", pa.string())]))
         finally:
             if out is not None:
@@ -89,7 +99,7 @@ def _writer(folder: str):
     return run
 
 
-def write_archives(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", folder: str | None = None) -> DataFrame:
+def write_archives(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", folder: str | None = None, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
     """Write one record per row; returns the index, a written table with one row per record."""
     spark = pages.sparkSession
     bounded_batches(spark, rows=500)
@@ -100,7 +110,7 @@ def write_archives(pages: DataFrame, id_col: str = "page_id", url_col: str = "ur
     repeated = materialize(large.select("digest", "last"), "repeated")
     joined = rows.join(repeated, "digest", "left").withColumn("revisit", F.col("last").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("last")))
     written = joined.select("page_id", "url", "payload", "digest", F.when(F.col("revisit"), F.col("last")).alias("refers_to"), "revisit")
-    return materialize(written.mapInArrow(_writer(folder), INDEX), "warc-index")
+    return materialize(written.mapInArrow(_writer(folder, archive_bytes), INDEX), "warc-index")
 
 
 def ranges(rows: list[tuple[str, int, int]]) -> Iterator[tuple[str, int, int, list[tuple[int, int]]]]:
@@ -123,9 +133,8 @@ READ = "page_id long, url string, payload binary, payload_bytes long, payload_di
 
 
 def _reader(with_payload: bool):
-    def whole(uri: str) -> int | None:
-        text = uri.removeprefix("<urn:page:").removesuffix(">")
-        return int(text) if text else None
+    def whole(text: str | None) -> int | None:
+        return None if text is None else int(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -146,7 +155,7 @@ def _reader(with_payload: bool):
                     if kind == "response" and (hashlib.sha1(body).hexdigest() != digest or len(body) != int(fields["X-Payload-Length"])):
                         raise ValueError(f"payload of {fields['WARC-Record-ID']} does not match its digest")
                     url = fields.get("X-Target-Escaped")
-                    values = (whole(fields["WARC-Record-ID"]), None if url is None else unquote(url), body if with_payload else None, int(fields["X-Payload-Length"]), digest, kind, whole(fields["WARC-Refers-To"]) if kind == "revisit" else None)
+                    values = (whole(fields.get("X-Page-ID")), None if url is None else unquote(url), body if with_payload else None, int(fields["X-Payload-Length"]), digest, kind, whole(fields.get("X-Refers-To-Page-ID")))
                     for k, v in zip(out, values):
                         out[k].append(v)
                 yield pa.RecordBatch.from_pydict(out, schema=pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("payload", pa.binary()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64())]))
@@ -157,8 +166,13 @@ def _reader(with_payload: bool):
 
 
 def read_records(index: DataFrame, with_payload: bool = True) -> DataFrame:
-    """The records that ``index`` rows select; every response is checked against its digest."""
-    bounded_batches(index.sparkSession, rows=5_000)
-    stretch = F.floor(F.col("offset") / READ_BYTES)  # a large archive is read by many tasks
-    dealt = index.select("file", "offset", "length").repartition("file", stretch).sortWithinPartitions("file", "offset")
+    """The records that ``index`` rows select; every response is checked against its digest.
+
+    A stretch of an archive holds ``READ_BYTES`` at most beside its last record, so dealing stretches evens out bytes.
+    """
+    spark = index.sparkSession
+    bounded_batches(spark, rows=5_000)
+    total = index.agg(F.sum("length")).first()[0] or 0
+    tasks = max(spark.sparkContext.defaultParallelism, -(-total // TASK_BYTES))
+    dealt = index.select("file", "offset", "length").repartition(tasks, "file", F.floor(F.col("offset") / READ_BYTES)).sortWithinPartitions("file", "offset")
     return dealt.mapInArrow(_reader(with_payload), READ)

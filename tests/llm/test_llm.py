@@ -272,6 +272,25 @@ def test_op5(spark, tables):
     assert back and all(r["url"] == pages[r["page_id"]]["url"] and (r["record_type"] == "revisit" or r["payload"] == (pages[r["page_id"]]["html"] or "").encode()) for r in back)
 
 
+def test_archives_roll_over_and_ids_are_unique(spark):
+    import gzip
+
+    from siltstone.llm.warc import parse, read_records, write_archives
+    from siltstone.storage import open_fs
+
+    rows = [(i // 2, f"http://a.de/{i}", f"page {i} " * 50) for i in range(40)] + [(None, None, None)]
+    index = write_archives(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1), archive_bytes=500)
+    assert index.select("file").distinct().count() > 5
+    ids = []
+    for r in index.collect():
+        store, path = open_fs(r["file"])
+        with store.open_input_file(path) as f:
+            ids.append(parse(gzip.decompress(f.read_at(r["length"], r["offset"])))[0]["WARC-Record-ID"])
+    assert len(set(ids)) == len(rows)
+    back = sorted((r["page_id"] is None, r["page_id"], r["url"], r["payload"].decode()) for r in read_records(index).collect())
+    assert back == sorted((i is None, i, u, h or "") for i, u, h in rows)
+
+
 def test_warc_ranges_merge_neighbours():
     from siltstone.llm.warc import GAP_BYTES, ranges
 
