@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.operators.components import components
+from siltstone.operators.components import components, merge_labels
 from siltstone.storage import bounded_batches, materialize
 
 BANDS, ROWS = 32, 5
@@ -215,13 +215,23 @@ def _prefix_pairs(left: DataFrame, texts: DataFrame, k: int, percent: int) -> Da
 
 
 def _sets(k: int):
-    """(id, shingle hash) rows of texts."""
+    """(id, shingle hash) rows of texts, in batches of about 100,000 rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def made(ids: list[int], sets: list[np.ndarray]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(np.repeat(np.array(ids, np.int64), [len(x) for x in sets])), pa.array(np.concatenate(sets))], names=["id", "x"])
+
         for batch in batches:
+            ids, sets, held = [], [], 0
             for i, text in zip(batch.column("id").to_pylist(), batch.column("_text").to_pylist()):
-                x = shingles(text, k).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), i, np.int64)), pa.array(x)], names=["id", "x"])
+                ids.append(i)
+                sets.append(shingles(text, k).view(np.int64))
+                held += len(sets[-1])
+                if held >= 100_000:
+                    yield made(ids, sets)
+                    ids, sets, held = [], [], 0
+            if ids:
+                yield made(ids, sets)
 
     return run
 
@@ -244,23 +254,29 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     star = members.where("id <> leader").where(_possible(F.col("n"), F.col("leader_n"), percent)).select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
     compared = _verified(star, texts, k, percent, "star")
     members = members.select("band", "id", "n")
-    labels = components(compared.where("linked"))
+    # One round of labels is enough to see which buckets are settled; whole components come before the exact search.
+    labels = components(compared.where("linked"), rounds=1)
+    left = materialize(_unsettled(members, labels), "unsettled")
     for _ in range(HUB_ROUNDS):
-        left = materialize(_unsettled(members, labels), "unsettled")
+        if left.isEmpty():
+            break
         fresh = _verified(_hub_pairs(left, compared, percent), texts, k, percent, "hubs")
         compared = materialize(compared.union(fresh), "compared")
-        if fresh.where("linked").limit(1).count() == 0:
+        if fresh.where("linked").isEmpty():
             break
-        labels = components(compared.where("linked"))
-    left = _unsettled(members, labels).select("id", "n", "c").distinct()
-    rest = _prefix_pairs(materialize(left, "unsettled"), texts, k, percent).join(compared.select("a", "b"), ["a", "b"], "left_anti")
-    links = compared.where("linked").select("a", "b")
-    more = _verified(rest, texts, k, percent, "rest").where("linked").select("a", "b")
+        labels = merge_labels(labels, fresh.where("linked"))
+        left = materialize(_unsettled(left.select("band", "id", "n"), labels), "unsettled")
     # An id that comes with several texts ties the classes of these texts together.
     in_class = linkable.join(classes.select("mark", "id"), "mark").select("_id", "id")
     several = in_class.groupBy("_id").agg(F.min("id").alias("a"), F.max("id").alias("z")).where("a <> z").select("_id", "a")
-    same = in_class.join(several, "_id").where("a <> id").select("a", F.col("id").alias("b"))
-    final = components(links.union(more).union(same))
+    same = materialize(in_class.join(several, "_id").where("a <> id").select("a", F.col("id").alias("b")), "same")
+    final = components(compared.where("linked").select("a", "b").union(same))
+    left = materialize(_unsettled(left.select("band", "id", "n"), final).select("id", "n", "c").distinct(), "unsettled")
+    if not left.isEmpty():
+        rest = _prefix_pairs(left, texts, k, percent).join(compared.select("a", "b"), ["a", "b"], "left_anti")
+        more = _verified(rest, texts, k, percent, "rest").where("linked")
+        if not more.isEmpty():
+            final = merge_labels(final, more)
     of_class = classes.join(final, "id", "left").select("mark", F.coalesce("component", "id").alias("component_id"))
     done = signed.select(F.col("_id").alias(id_col), "n_shingles", F.when(F.col("_id").isNotNull(), F.col("mark")).alias("mark")).join(of_class, "mark", "left")
     component = F.coalesce("component_id", F.col(id_col))
