@@ -156,12 +156,9 @@ def with_form(name: Column, form: Column, shiny: Column) -> Column:
     """A name with its form before it, or around it for mega forms; shiny before all."""
     said = F.replace(name, F.lit("_"), F.lit(" "))
     f = snake(form)
-    out = F.when(f == "", said)
-    for key, suffix in v.MEGA_SUFFIXES.items():
-        out = out.when(f == key, F.concat(F.lit("mega "), said, F.lit(suffix)))
-    for key, prefix in v.FORM_PREFIXES.items():
-        out = out.when(f == key, F.concat(F.lit(prefix + " "), said))
-    out = out.otherwise(F.concat(f, F.lit(" "), said))
+    around = {"": ("", ""), **{k: ("mega ", suffix) for k, suffix in v.MEGA_SUFFIXES.items()}, **{k: (prefix + " ", "") for k, prefix in v.FORM_PREFIXES.items() if k not in v.MEGA_SUFFIXES}}
+    table = F.create_map(*[x for k, (before, after) in around.items() for x in (F.lit(k), F.struct(F.lit(before).alias("before"), F.lit(after).alias("after")))])
+    out = bind(F.struct(f.alias("f"), said.alias("s"), F.try_element_at(table, f).alias("t")), lambda x: F.concat(F.coalesce(x["t"]["before"], F.concat(x["f"], F.lit(" "))), x["s"], F.coalesce(x["t"]["after"], F.lit(""))))
     return F.trim(F.concat(F.when(shiny, "shiny ").otherwise(""), out))
 
 

@@ -25,6 +25,32 @@ def probe(blob: bytes | None) -> tuple[str, int, int] | None:
     return _jpeg(blob) if blob[:2] == b"\xff\xd8" else None
 
 
+def intact(blob: bytes | None) -> bool:
+    """Whether the body of an image file is all there: chunks of a PNG with right sums and pixel data that inflates, the
+    end mark of a JPEG, the stated length of a WEBP."""
+    if not blob or len(blob) < 12:
+        return False
+    if blob[:2] == b"\xff\xd8":
+        return blob.rstrip(b"\0")[-2:] == b"\xff\xd9"
+    if blob[:4] == b"RIFF":
+        return int.from_bytes(blob[4:8], "little") + 8 <= len(blob)
+    at, pixels = 8, zlib.decompressobj()
+    try:
+        while at + 12 <= len(blob):
+            n, name = int.from_bytes(blob[at : at + 4], "big"), blob[at + 4 : at + 8]
+            body = blob[at + 8 : at + 8 + n]
+            if zlib.crc32(name + body) != int.from_bytes(blob[at + 8 + n : at + 12 + n], "big"):
+                return False
+            if name == b"IDAT":
+                pixels.decompress(body)
+            if name == b"IEND":
+                return pixels.eof
+            at += 12 + n
+    except zlib.error:
+        return False
+    return False
+
+
 def _webp(blob: bytes) -> tuple[str, int, int] | None:
     kind, data = blob[12:16], blob[20:]
     if kind == b"VP8X" and len(data) >= 10:
@@ -280,3 +306,26 @@ def convex_hull_area(points: np.ndarray) -> float:
 
     hull = half(pts) + half(pts[::-1])
     return abs(sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(hull, hull[1:] + hull[:1]))) / 2
+
+
+def rotation(h: int, w: int, degrees: float) -> np.ndarray:
+    """The 2 x 3 map of a counter-clockwise turn about the centre of a picture."""
+    c, s = np.cos(np.deg2rad(degrees)), np.sin(np.deg2rad(degrees))
+    turn = np.array([[c, s], [-s, c]])
+    centre = np.array([w / 2, h / 2])
+    return np.column_stack([turn, centre - turn @ centre])
+
+
+def rotate(pixels: np.ndarray, degrees: float) -> np.ndarray:
+    """The picture turned about its centre in its own frame: bilinear, edges repeated outwards."""
+    h, w = pixels.shape[:2]
+    back = np.linalg.inv(np.vstack([rotation(h, w, degrees), [0, 0, 1]]))
+    ys, xs = np.mgrid[0:h, 0:w]
+    x = np.clip(back[0, 0] * xs + back[0, 1] * ys + back[0, 2], 0, w - 1)
+    y = np.clip(back[1, 0] * xs + back[1, 1] * ys + back[1, 2], 0, h - 1)
+    x0, y0 = np.floor(x).astype(int), np.floor(y).astype(int)
+    x1, y1 = np.minimum(x0 + 1, w - 1), np.minimum(y0 + 1, h - 1)
+    fx, fy = (x - x0)[..., None], (y - y0)[..., None]
+    p = pixels.reshape(h, w, -1).astype(np.float64)
+    mixed = (p[y0, x0] * (1 - fx) + p[y0, x1] * fx) * (1 - fy) + (p[y1, x0] * (1 - fx) + p[y1, x1] * fx) * fy
+    return np.rint(mixed).astype(np.uint8).reshape(pixels.shape)

@@ -228,48 +228,3 @@ def best_score(hits: Column) -> Column:
 def bind(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` computed once: a lambda argument is not expanded into its uses."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
-def polygon(corners: Column) -> Column:
-    """Struct (area, circularity, aspect, solidity) of array<array<double>> corners, by the shoelace formula.
-
-    ``aspect`` is that of the box around whole pixels.  ``solidity`` is exact for quadrilaterals, which is what text
-    detectors return: 1 if convex, else the share of the hull, a triangle of three corners.
-    """
-
-    def at(points: Column, i: Column, k: int) -> Column:
-        return F.get(F.get(points, i % F.size(points)), F.lit(k))
-
-    def measured(points: Column) -> Column:
-        steps = F.sequence(F.lit(0), F.size(points) - 1)
-        crosses = F.transform(steps, lambda i: at(points, i, 0) * at(points, i + 1, 1) - at(points, i + 1, 0) * at(points, i, 1))
-        sides = F.transform(steps, lambda i: F.sqrt(F.pow(at(points, i + 1, 0) - at(points, i, 0), 2) + F.pow(at(points, i + 1, 1) - at(points, i, 1), 2)))
-        xs, ys = F.transform(steps, lambda i: at(points, i, 0).cast("int")), F.transform(steps, lambda i: at(points, i, 1).cast("int"))
-        turns = F.transform(steps, lambda i: F.signum((at(points, i + 1, 0) - at(points, i, 0)) * (at(points, i + 2, 1) - at(points, i + 1, 1)) - (at(points, i + 1, 1) - at(points, i, 1)) * (at(points, i + 2, 0) - at(points, i + 1, 0))))
-
-        def triangle(i: int, j: int, k: int) -> Column:
-            (ax, ay), (bx, by), (cx, cy) = ((at(points, F.lit(m), 0), at(points, F.lit(m), 1)) for m in (i, j, k))
-            return F.abs((bx - ax) * (cy - ay) - (cx - ax) * (by - ay)) / 2
-
-        return F.struct(
-            (F.abs(F.aggregate(crosses, F.lit(0.0), lambda a, x: a + x)) / 2).alias("area"),
-            F.aggregate(sides, F.lit(0.0), lambda a, x: a + x).alias("perimeter"),
-            (F.array_max(xs) - F.array_min(xs) + 1).alias("width"), (F.array_max(ys) - F.array_min(ys) + 1).alias("height"),
-            (F.array_contains(turns, F.lit(1.0)) & F.array_contains(turns, F.lit(-1.0)) & (F.size(points) == 4)).alias("dented"),
-            F.greatest(triangle(0, 1, 2), triangle(0, 1, 3), triangle(0, 2, 3), triangle(1, 2, 3)).alias("hull"),
-        )
-
-    def shaped(m: Column) -> Column:
-        hull = F.when(m["dented"], m["hull"]).otherwise(m["area"])
-        return F.struct(
-            m["area"].alias("area"),
-            F.when(m["perimeter"] > 0, F.lit(4.0) * F.pi() * m["area"] / (m["perimeter"] * m["perimeter"])).otherwise(0.0).alias("circularity"),
-            F.when(m["height"] > 0, m["width"] / m["height"]).otherwise(0.0).alias("aspect"),
-            F.when(hull > 0, m["area"] / hull).otherwise(0.0).alias("solidity"),
-        )
-
-    return bind(bind(corners, measured), shaped)
-
-
-def is_round(shape: Column, circularity: float = 0.78, low: float = 0.75, high: float = 1.33, solidity: float = 0.95) -> Column:
-    return (shape["area"] > 0) & (shape["circularity"] >= circularity) & shape["aspect"].between(low, high) & (shape["solidity"] >= solidity)

@@ -1,12 +1,15 @@
 """Near-duplicates by distance of 64-bit hashes: blocked self-join, clusters, best member, audit.
 
-Equal hashes are one value with one representative, so thousands of copies never meet pairwise.  Distinct values within
-``threshold`` bits agree in one of ``threshold + 1`` bands of the bits that the block does not fix; joining on the block
-and a band finds every such pair, with far fewer candidates than all pairs of a block.
+Equal hashes are one value with one representative, so thousands of copies never meet pairwise.  The bits that the
+block does not fix are cut into m bands; values within ``threshold`` bits differ in at most threshold // m bits of one
+of them.  Joining on the block and the neighbours of a band within that radius finds every such pair, with far fewer
+candidates than all pairs of a block.
 """
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,15 +18,26 @@ from siltstone.operators.components import components
 from siltstone.operators.ledger import require_columns
 
 
-def _bands(h: Column, threshold: int, prefix_bits: int) -> Column:
+#: Least width of a band in bits; narrower ones would hardly tell values apart.
+BAND_BITS = 8
+
+
+def _cuts(threshold: int, prefix_bits: int) -> tuple[list[tuple[int, int]], int]:
+    """Bands as (low, high) bits, and the radius within a band."""
     rest = 64 - prefix_bits
-    n = min(threshold + 1, rest) or 1
+    n = max(1, min(threshold + 1, rest // BAND_BITS))
     cuts = [rest * i // n for i in range(n + 1)]
-    made = []
-    for i, (low, high) in enumerate(zip(cuts, cuts[1:])):
-        mask = (1 << (high - low)) - 1
-        made.append(F.struct(F.lit(i).alias("band"), F.shiftrightunsigned(h, low).bitwiseAND(F.lit(mask if mask < 1 << 63 else -1)).alias("bits")))
-    return F.array(*made)
+    return list(zip(cuts, cuts[1:])), threshold // n
+
+
+def _bits(h: Column, low: int, high: int) -> Column:
+    mask = (1 << (high - low)) - 1
+    return F.shiftrightunsigned(h, low).bitwiseAND(F.lit(mask if mask < 1 << 63 else -1))
+
+
+def _masks(width: int, radius: int) -> list[int]:
+    """All numbers of ``width`` bits with at most ``radius`` ones."""
+    return [sum(1 << i for i in ones) for k in range(radius + 1) for ones in combinations(range(width), k)]
 
 
 def close_values(values: DataFrame, threshold: int = 3, prefix_bits: int = 16) -> DataFrame:
@@ -34,14 +48,24 @@ def close_values(values: DataFrame, threshold: int = 3, prefix_bits: int = 16) -
     """
     if threshold < 0:
         return values.select(F.col("h").alias("a"), F.col("h").alias("b"), F.lit(0).alias("distance")).limit(0)
+    h = F.col("h")
     block = F.shiftrightunsigned("h", 64 - prefix_bits) if prefix_bits else F.lit(0).cast("long")
-    keyed = values.select("h", block.alias("block"), F.explode(_bands(F.col("h"), threshold, prefix_bits)).alias("k")).select("h", "block", "k.*")
-    x, y = keyed.alias("x"), keyed.alias("y")
+    bands, radius = _cuts(threshold, prefix_bits)
+
+    def keyed(probes: bool) -> DataFrame:
+        made = []
+        for i, (low, high) in enumerate(bands):
+            own = _bits(h, low, high)
+            near = F.transform(F.array(*[F.lit(m).cast("long") for m in _masks(high - low, radius)]), lambda m: own.bitwiseXOR(m)) if probes and radius else F.array(own)
+            made.append(F.transform(near, lambda x: F.struct(F.lit(i).alias("band"), x.alias("bits"))))
+        return values.select("h", block.alias("block"), F.explode(F.concat(*made)).alias("k")).select("h", "block", "k.*")
+
+    x, y = keyed(True).alias("x"), keyed(False).alias("y")
     same = [F.col(f"x.{c}") == F.col(f"y.{c}") for c in ("block", "band", "bits")]
     d = hamming(F.col("x.h"), F.col("y.h"))
     near = x.join(y, same[0] & same[1] & same[2] & (F.col("x.h") < F.col("y.h")) & (d <= threshold))
-    # A pair is found in every band it agrees in; keep it where that happens first.
-    first = F.array_position(F.zip_with(_bands(F.col("x.h"), threshold, prefix_bits), _bands(F.col("y.h"), threshold, prefix_bits), lambda p, q: p == q), True) - 1
+    # A pair is found in every band that is close enough; keep it where that happens first.
+    first = F.coalesce(*[F.when(hamming(_bits(F.col("x.h"), low, high), _bits(F.col("y.h"), low, high)) <= radius, F.lit(i)) for i, (low, high) in enumerate(bands)])
     return near.where(first == F.col("x.band")).select(F.col("x.h").alias("a"), F.col("y.h").alias("b"), d.alias("distance"))
 
 

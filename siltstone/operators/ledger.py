@@ -106,13 +106,15 @@ def hashes_in(tokens: DataFrame) -> DataFrame:
 def withdraw_drops(drops: DataFrame, hashes: DataFrame, stage: str) -> tuple[DataFrame, DataFrame]:
     """(remaining, withdrawn) audit rows: rows of ``stage`` go whose id is a hash, or whose path holds one.
 
-    The path is searched by its own hash, so both tests are equi-joins on short keys instead of a nested loop.
+    The path is searched by its own hashes, so both tests are equi-joins on short keys instead of a nested loop; rows
+    with the same id and path share their fate, so these two are the key, and no row number has to be made up.
     """
     ids = hashes.select(F.lower("id").alias("_h")).distinct()
-    keyed = drops.withColumn("_own", F.lower(F.coalesce("image_id", F.lit("")))).withColumn("_in", F.coalesce(F.array_distinct(F.transform(F.regexp_extract_all(F.lower(F.coalesce("path_raw", F.lit(""))), F.lit("(?=([a-f0-9]{32}))"), F.lit(1)), lambda x: x)), F.array().cast("array<string>"))).withColumn("_row", F.monotonically_increasing_id())
-    hit = keyed.select("_row", F.explode(F.array_distinct(F.concat(F.array("_own"), "_in"))).alias("_h")).join(ids, "_h", "left_semi").select("_row").distinct()
-    marked = keyed.join(hit.withColumn("_hit", F.lit(True)), "_row", "left").withColumn("_hit", F.coalesce(F.col("_hit"), F.lit(False)) & (F.col("stage") == stage))
-    gone, left = split_by(marked, F.col("_hit"))
+    keys = drops.where(F.col("stage") == stage).select(F.col("image_id").alias("_i"), F.col("path_raw").alias("_p")).distinct()
+    within = F.regexp_extract_all(F.lower(F.coalesce("_p", F.lit(""))), F.lit("(?=([a-f0-9]{32}))"), F.lit(1))
+    hit = keys.select("_i", "_p", F.explode(F.array_distinct(F.concat(F.array(F.lower(F.coalesce("_i", F.lit("")))), within))).alias("_h")).join(ids, "_h", "left_semi").select("_i", "_p").distinct()
+    marked = drops.join(hit.withColumn("_hit", F.lit(True)), F.col("image_id").eqNullSafe(F.col("_i")) & F.col("path_raw").eqNullSafe(F.col("_p")), "left")
+    gone, left = split_by(marked, F.col("_hit") & (F.col("stage") == stage))
     return left.select(*drops.columns), gone.select(*drops.columns)
 
 
@@ -145,10 +147,21 @@ def quota_take(df: DataFrame, quotas: DataFrame, group: str, order: str, present
     need = quotas.select(group, F.col("q_r_base").alias("_need"))
     if have is not None:
         need = need.join(have, group, "left").select(group, F.greatest(F.lit(0), F.col("_need") - F.coalesce("_have", F.lit(0))).alias("_need"))
-    ranked = df.withColumn("_n", F.row_number().over(Window.partitionBy(group).orderBy(order)))
+    most = need.agg(F.max("_need")).first()[0] or 0  # a constant bound lets each task keep its best rows of a group before the shuffle
+    ranked = df.withColumn("_n", F.row_number().over(Window.partitionBy(group).orderBy(order))).where(F.col("_n") <= most)
     return ranked.join(need, group).where("_n <= _need").drop("_n", "_need")
 
 
+def quota_total(quotas: DataFrame, need: str = "q_r_base") -> DataFrame:
+    """One row: how many groups there are and how many records they ask for in all."""
+    return quotas.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.greatest(F.lit(0), F.col(need))), F.lit(0)).cast("long").alias("target"))
+
+
+def preview(df: DataFrame, n: int, *order: str) -> DataFrame:
+    """The first rows of what a command would change, for a dry run."""
+    return df.orderBy(*order).limit(n)
+
+
 def attempt_status(fetched: Column, valid: Column, exists: Column, error: Column) -> Column:
     """What became of one attempt to fetch a record."""
     return F.when(~F.coalesce(fetched, F.lit(False)), "http_fail").when(~F.coalesce(valid, F.lit(False)), "invalid_or_corrupt").when(F.coalesce(exists, F.lit(False)), "duplicate_existing").when(blank_to_null(error).isNotNull(), "io_error").otherwise("saved")

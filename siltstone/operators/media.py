@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siltstone.functions import rasters
-from siltstone.functions.scalars import is_round, polygon
+from siltstone.functions.polygons import is_round, polygons
 from siltstone.storage import bounded_batches
 
 FORMATS, LEAST_SIDE = ("JPEG", "PNG", "WEBP"), 128
@@ -25,8 +25,8 @@ FORMATS, LEAST_SIDE = ("JPEG", "PNG", "WEBP"), 128
 
 @F.pandas_udf(T.StructType([T.StructField("fmt", T.StringType()), T.StructField("w", T.IntegerType()), T.StructField("h", T.IntegerType())]))
 def probe(content: pd.Series) -> pd.DataFrame:
-    """Format and size from the file's header; nulls for anything that is no image."""
-    return pd.DataFrame([rasters.probe(b) or (None, None, None) for b in content], columns=["fmt", "w", "h"]).astype({"w": "Int32", "h": "Int32"})
+    """Format and size from the file's header; nulls for anything that is no image, or not a whole one."""
+    return pd.DataFrame([(rasters.probe(b) if rasters.intact(b) else None) or (None, None, None) for b in content], columns=["fmt", "w", "h"]).astype({"w": "Int32", "h": "Int32"})
 
 
 def is_valid(image: Column, least_side: int = LEAST_SIDE) -> Column:
@@ -103,8 +103,9 @@ def text_boxes(df: DataFrame, boxes: str = "boxes", least_conf: float = 0.35, le
 
     With ``recheck`` above 0 boxes also need a field ``rec``, the confidence of recognising text in them, that reaches it.
     """
-    shaped = F.transform(F.col(boxes), lambda b: F.struct(b["points"].alias("points"), b["conf"].alias("conf"), polygon(b["points"]).alias("shape"), (b["rec"] if recheck > 0 else F.lit(1.0)).alias("rec")))
-    out = df.withColumn("_b", shaped)
+    rec = F.col(f"{boxes}.rec") if recheck > 0 else F.transform(boxes, lambda b: F.lit(1.0))
+    shaped = F.arrays_zip(F.col(f"{boxes}.points").alias("points"), F.col(f"{boxes}.conf").alias("conf"), F.col("_shapes").alias("shape"), rec.alias("rec"))
+    out = df.withColumn("_shapes", polygons(F.col(f"{boxes}.points"))).withColumn("_b", shaped).drop("_shapes")
     good = F.filter("_b", lambda b: (b["shape"]["area"] >= least_area) & (b["conf"] >= least_conf) & (b["rec"] >= recheck) & (~is_round(b["shape"], **roundness) if reject_round else F.lit(True)))
     kept = F.transform(good, lambda b: F.struct(b["points"].alias("points"), b["conf"].alias("conf"), b["shape"]["area"].alias("area")))
     old = F.coalesce(F.col("has_ocr"), F.lit(False)) if "has_ocr" in df.columns else F.lit(False)

@@ -114,6 +114,11 @@ SQL = {
     "deny_species": f"WITH {SPECIES} SELECT image_id FROM parts WHERE list_has_any(names, ['brand#3', 'brand#33'])",
     "species_counts": f"WITH {SPECIES} SELECT pokemon, count(*) AS count FROM named GROUP BY pokemon HAVING count(*) >= 2",
     "rank_quota": f"WITH {SPECIES}, {RANKED} SELECT pokemon, rank, need FROM quota",
+    "quota_split": f"""WITH RECURSIVE {SPECIES}, {RANKED},
+      drawn AS (SELECT rank, need, list(image_id ORDER BY md5('42:' || image_id), image_id) AS ids FROM quota JOIN named USING (pokemon) GROUP BY rank, need),
+      walk AS (SELECT 0 AS rank, []::VARCHAR[] AS taken UNION ALL SELECT d.rank, list_concat(w.taken, list_filter(d.ids, lambda x: NOT list_contains(w.taken, x))[1:d.need]) FROM walk w JOIN drawn d ON d.rank = w.rank + 1),
+      chosen AS (SELECT unnest(taken) AS image_id FROM (SELECT taken FROM walk ORDER BY rank DESC LIMIT 1))
+      SELECT image_id, CASE WHEN image_id IN (SELECT image_id FROM chosen) THEN 'val' ELSE 'train' END AS split FROM kept""",
     "split_fraction": f"""WITH {SPECIES}, c AS (SELECT CASE WHEN p_partkey % 10 = 0 THEN 'val' ELSE 'train' END AS split, pokemon, count(*) AS count FROM named GROUP BY ALL)
       SELECT split, pokemon, count, round(count / sum(count) OVER (PARTITION BY split), 9) AS fraction FROM c""",
     "split_totals": f"WITH {SPECIES} SELECT count(*) AS total, count(*) FILTER (p_partkey % 10 <> 0) AS train, count(*) FILTER (p_partkey % 10 = 0) AS val FROM kept",

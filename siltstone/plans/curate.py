@@ -44,19 +44,20 @@ def caption_base(base: DataFrame, corrected: DataFrame | None = None) -> tuple[D
 def package(base: DataFrame, payloads: DataFrame, root: str, train_shards: int = 16, seed: int = 42, least_count: int = 0, overwrite: bool = False) -> tuple[DataFrame, str]:
     """Normalise names, split, and pack; returns (shard table, statistics JSON).
 
-    Payloads (path, content) are joined before ids are made unique, so a missing file does not claim its id.
+    Payloads (path, content) are known by path before ids are made unique, so a missing file does not claim its id;
+    split, shard and place are decided on keys, and the bytes join last, on their way into the shards.
     """
     if overwrite:
         clear_shards(base.sparkSession, root)
     kept, _ = groups.normalise_tags(base)
     counted = groups.counts(kept, F.split("species", ", "), least_count).where("pokemon <> ''")
     split = groups.quota_split(kept, groups.quotas_by_rank(counted), seed)
-    present = split.join(payloads.select("path", "content"), "path")
+    present = split.join(payloads.select("path"), "path", "left_semi")
     unique = materialize(groups.unique_by_id(present, seed=seed), "package")
     shards = []
     for name, n in (("train", train_shards), ("val", 1)):
         part = unique.where(F.col("split") == name)
-        dealt = sample_metadata(groups.assign_shards(part, n, seed=seed))
+        dealt = sample_metadata(groups.assign_shards(part, n, seed=seed)).join(payloads.select("path", "content"), "path")
         shards.append(materialize(write_shards(dealt, root, f"{name}/{name}-%05d.tar", n), f"shards-{name}"))
     rows = {r["split"]: (f"ids/{r['split']}.txt", r["count"], r["sha256"]) for r in groups.manifest(unique).collect()}
     return shards[0].unionByName(shards[1]), split_stats(groups.split_totals(unique).first().asDict(), rows)

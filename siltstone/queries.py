@@ -65,10 +65,10 @@ def hashed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     words = F.array_distinct(F.filter(F.split(F.lower("text"), "[^a-z0-9]+"), lambda w: w != ""))
     hashes = F.transform(words, lambda w: F.conv(F.substring(F.md5(w), 1, 15), 16, 10).cast("long"))
-    bits = docs.select("doc_id", F.explode(hashes).alias("x"))
-    votes = bits.groupBy("doc_id").agg(*[F.sum(F.shiftright("x", i).bitwiseAND(F.lit(1)) * 2 - 1).alias(f"v{i}") for i in range(60)])
-    h = sum((F.when(F.col(f"v{i}") > 0, F.lit(1 << i)).otherwise(F.lit(0)) for i in range(1, 60)), F.when(F.col("v0") > 0, F.lit(1)).otherwise(F.lit(0))).cast("long")
-    return votes.select("doc_id", F.shiftleft(h, 4).alias("h"))
+    voted = docs.select("doc_id", hashes.alias("x")).where(F.size("x") > 0)
+    majority = F.transform(F.sequence(F.lit(0), F.lit(59)), lambda i: 2 * F.size(F.filter("x", lambda x: F.getbit(x, i) == 1)) > F.size("x"))
+    h = F.aggregate(F.reverse(majority), F.lit(0).cast("long"), lambda a, b: F.shiftleft(a, 1).bitwiseOR(F.when(b, F.lit(1).cast("long")).otherwise(F.lit(0).cast("long"))))
+    return voted.select("doc_id", F.shiftleft(h, 4).alias("h"))
 
 
 def near_dup_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:

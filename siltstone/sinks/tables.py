@@ -8,11 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from siltstone.storage import materialize, scratch_path
+
 
 def write_version(df: DataFrame, root: str, run_id: str | None = None) -> str:
     """Write a new version below ``root`` and point ``CURRENT`` at it; what is being read is never overwritten.
 
-    The pointer is written beside and renamed, so readers see the old version or the new one.
+    The pointer is written beside and renamed over the old one in one step where the file system can do that, as HDFS
+    and local ones can, so readers see the old version or the new one.
     """
     run = run_id or uuid.uuid4().hex
     path = f"{root}/run_id={run}"
@@ -23,9 +26,10 @@ def write_version(df: DataFrame, root: str, run_id: str | None = None) -> str:
     out = fs.create(fresh, True)
     out.write(bytearray(run.encode()))
     out.close()
-    pointer = jvm.org.apache.hadoop.fs.Path(f"{root}/CURRENT")
-    fs.delete(pointer, False)
-    fs.rename(fresh, pointer)
+    pointer = fs.makeQualified(jvm.org.apache.hadoop.fs.Path(f"{root}/CURRENT"))
+    overwrite = spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 1)
+    overwrite[0] = getattr(jvm.org.apache.hadoop.fs, "Options$Rename").OVERWRITE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(pointer.toUri(), spark._jsc.hadoopConfiguration()).rename(fs.makeQualified(fresh), pointer, overwrite)
     return path
 
 
@@ -79,13 +83,17 @@ def checkpointed(df: DataFrame, results: str, key: str, compute, every: int = 20
     """Resumable work: rows without a result are computed in slices that are appended as they end.
 
     A job that stops in between keeps the slices it wrote; the next call only computes what is missing.  ``every`` is
-    the number of slices.
+    the number of rows after which results are stored, on average; slices are made once, as partitions of a table.
     """
     spark = df.sparkSession
     fs, jvm = _fs(spark, results)
     done = spark.read.parquet(results) if fs.exists(jvm.org.apache.hadoop.fs.Path(results)) else None
     left = df if done is None else df.join(done.select(key).distinct(), key, "left_anti")
-    for i in range(every):
-        part = left.where(F.pmod(F.xxhash64(key), F.lit(every)) == i)
-        compute(part).write.mode("append").parquet(results)
+    left = materialize(left, "pending")
+    slices = max(1, -(-left.count() // every))
+    path = scratch_path(spark, "slices")
+    left.withColumn("_slice", F.pmod(F.xxhash64(key), F.lit(slices)).cast("int")).repartition("_slice").write.partitionBy("_slice").parquet(path)
+    dealt = spark.read.parquet(path)
+    for (i,) in dealt.select("_slice").distinct().orderBy("_slice").collect():  # one number a slice
+        compute(dealt.where(F.col("_slice") == i).select(*left.columns)).write.mode("append").parquet(results)
     return spark.read.parquet(results)

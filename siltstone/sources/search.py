@@ -1,7 +1,8 @@
 """Paged search results as a data source, and fetching with an injected client.
 
-``fetch(query, page)`` returns the results of a page as dicts; an empty page ends a query.  Each query is one partition,
-read page by page, so a query's pages stay in order and stop where the source ends.
+``fetch(query, page)`` returns the results of a page as dicts; an empty page ends a query.  Queries are dealt over a
+few lanes, each a partition that reads its queries page by page.  A lane waits as many times the interval of the rate
+as there are lanes, so the rate holds for all of them together.
 """
 
 from __future__ import annotations
@@ -22,29 +23,36 @@ SCHEMA = "query string, page int, position int, url string, title string"
 Fetch = Callable[[str, int], list[dict]]
 
 
-class Query(InputPartition):
-    def __init__(self, text: str):
-        self.text = text
+#: Lanes in which queries are asked side by side.
+LANES = 8
+
+
+class Lane(InputPartition):
+    def __init__(self, queries: list[str]):
+        self.queries = queries
 
 
 class SearchReader(DataSourceReader):
     def __init__(self, options: dict[str, str], fetch: Fetch):
-        self.queries: list[str] = json.loads(options["queries"])
+        queries: list[str] = json.loads(options["queries"])
+        n = min(LANES, len(queries))
+        self.lanes = [Lane(queries[i::n]) for i in range(n)]
         self.pages = int(options.get("pages", 50))
-        self.wait = 0.0 if options.get("rate") is None else 1.0 / max(float(options["rate"]), 0.1)
+        self.wait = 0.0 if options.get("rate") is None else n / max(float(options["rate"]), 0.1)
         self.fetch = fetch
 
     def partitions(self) -> list[InputPartition]:
-        return [Query(q) for q in self.queries]
+        return self.lanes
 
     def read(self, partition: InputPartition) -> Iterator[tuple]:
-        for page in range(self.pages):
-            found = self.fetch(partition.text, page)
-            if not found:
-                return
-            for i, x in enumerate(found):
-                yield partition.text, page, i, x.get("url"), x.get("title")
-            time.sleep(self.wait)
+        for text in partition.queries:
+            for page in range(self.pages):
+                found = self.fetch(text, page)
+                time.sleep(self.wait)
+                if not found:
+                    break
+                for i, x in enumerate(found):
+                    yield text, page, i, x.get("url"), x.get("title")
 
 
 def search_source(fetch: Fetch) -> type[DataSource]:

@@ -12,9 +12,12 @@ from siltstone.operators.ledger import require_columns
 ATTEMPTS = "ts string, status string, url string, scrape_run_id string, species string, rank int, band string, query string, hash string, path string, fmt string, w int, h int, content_type string, error string"
 
 
-def read_csv(spark: SparkSession, path: str, schema: str | T.StructType, sep: str = ",", blanks: bool = False) -> DataFrame:
-    """CSV with quoted line breaks.  Types are declared, never inferred; blanks are null unless asked for."""
-    reader = spark.read.schema(schema).option("header", True).option("multiLine", True).option("escape", '"').option("sep", sep)
+def read_csv(spark: SparkSession, path: str, schema: str | T.StructType, sep: str = ",", blanks: bool = False, multi_line: bool = True) -> DataFrame:
+    """CSV, types declared and never inferred; blanks are null unless asked for.
+
+    With quoted line breaks (``multi_line``) a file is one task; without, large files are split.
+    """
+    reader = spark.read.schema(schema).option("header", True).option("multiLine", multi_line).option("escape", '"').option("sep", sep)
     df = reader.option("mode", "PERMISSIVE").csv(path)
     texts = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
     return df.withColumns({c: F.coalesce(c, F.lit("")) if blanks else blank_to_null(F.col(c)) for c in texts}) if texts else df

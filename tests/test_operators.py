@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from siltstone.functions import documents as d
-from siltstone.functions import rasters
+from siltstone.functions import polygons, rasters
 from siltstone.functions import scalars as s
 from siltstone.operators import captions, dedup, groups, ledger, media, rank
 
@@ -204,9 +204,9 @@ def test_images(spark):
     head = struct.pack(">IIBBBBB", 4, 3, 8, 2, 0, 0, 0)
     raw = b"\x89PNG\r\n\x1a\n" + b"".join(struct.pack(">I", len(b)) + n + b + struct.pack(">I", zlib.crc32(n + b)) for n, b in ((b"IHDR", head), (b"IDAT", zlib.compress(bytes(filtered))), (b"IEND", b"")))
     assert rasters.decode_png(raw)[0].ravel().tolist() == list(range(12))
-    df = spark.createDataFrame([(1, rasters.encode_png(np.zeros((200, 150, 3), np.uint8))), (2, png), (3, b"junk"), (4, None), (5, jpeg(300, 200))], "i int, content binary")
+    df = spark.createDataFrame([(1, rasters.encode_png(np.zeros((200, 150, 3), np.uint8))), (2, png), (3, b"junk"), (4, None), (5, jpeg(300, 200) + b"\xff\xd9"), (6, jpeg(300, 200))], "i int, content binary")
     got = {r["i"]: (r["fmt"], r["w"], r["h"], r["valid"]) for r in media.identified(df).collect()}
-    assert got == {1: ("PNG", 150, 200, True), 2: ("PNG", 60, 40, False), 3: (None, None, None, False), 4: (None, None, None, False), 5: ("JPEG", 300, 200, True)}
+    assert got == {1: ("PNG", 150, 200, True), 2: ("PNG", 60, 40, False), 3: (None, None, None, False), 4: (None, None, None, False), 5: ("JPEG", 300, 200, True), 6: (None, None, None, False)}
     hashes = {r["i"]: r["x"] for r in df.select("i", media.perceptual_hash()("content").alias("x")).collect()}
     assert hashes[2] is not None and hashes[3] is None and hashes[4] is None
     noisy = np.clip(px.astype(int) + 2, 0, 255).astype(np.uint8)
@@ -229,7 +229,7 @@ def test_rasters():
 def test_polygons(spark):
     square, flat, dart = [[0.0, 0.0], [20.0, 0.0], [20.0, 20.0], [0.0, 20.0]], [[0.0, 0.0], [100.0, 0.0], [100.0, 10.0], [0.0, 10.0]], [[0.0, 0.0], [10.0, 5.0], [0.0, 10.0], [5.0, 5.0]]
     df = spark.createDataFrame([(1, square), (2, flat), (3, dart)], "i int, p array<array<double>>")
-    got = {r["i"]: r["s"] for r in df.select("i", s.polygon(F.col("p")).alias("s")).collect()}
+    got = {r["i"]: r["s"] for r in df.select("i", polygons.polygon(F.col("p")).alias("s")).collect()}
     assert got[1]["area"] == 400 and got[1]["circularity"] == pytest.approx(np.pi / 4) and got[1]["solidity"] == 1
     assert got[3]["solidity"] == pytest.approx(25 / rasters.convex_hull_area(np.array(dart)))
     boxes = df.groupBy().agg(F.collect_list(F.struct(F.col("p").alias("points"), F.lit(0.9).alias("conf"))).alias("boxes"))
@@ -250,3 +250,72 @@ def test_models_fail_as_rows(spark):
     got = {r["image_id"]: (r["status"], r["attempts"], r["reply"]) for r in media.apply_model(df, build, ["image_id"], "reply string", tries=3).collect()}
     assert got["ok"][:2] == ("ok", 1) and got["slow"][:2] == ("ok", 3) and got["bad"] == ("failed", 3, None)
     assert media.temperature(0.9, 9) == 1.0
+
+
+def test_polygons_of_any_number_of_corners():
+    """Against the shoelace formula and the hull of each polygon by itself, with empty and degenerate ones."""
+    from siltstone.functions.polygons import measures
+
+    rng = np.random.default_rng(4)
+    shapes = [rng.uniform(-50, 50, (n, 2)) for n in (3, 4, 4, 4, 5, 6, 7, 12, 1, 2) for _ in range(5)]
+    shapes += [np.zeros((0, 2)), np.array([[0, 0], [4, 0], [4, 4], [0, 4.0]]), np.array([[0, 0], [4, 4], [4, 0], [0, 4.0]])]
+    x, y = np.concatenate(shapes).T
+    got = measures(x, y, np.array([len(p) for p in shapes])).T
+    for p, (area, circularity, aspect, solidity) in zip(shapes, got):
+        if not len(p):
+            assert (area, circularity, aspect, solidity) == (0, 0, 0, 0)
+            continue
+        q = np.roll(p, -1, axis=0)
+        want = abs(float(np.sum(p[:, 0] * q[:, 1] - q[:, 0] * p[:, 1]))) / 2
+        hull = rasters.convex_hull_area(p) if len(p) > 2 else 0.0
+        assert area == pytest.approx(want, abs=1e-9) and solidity == pytest.approx(want / hull if hull > 1e-9 else 0.0, abs=1e-6)
+        assert aspect > 0 and circularity >= 0
+    assert got[-2].tolist() == [16.0, pytest.approx(np.pi / 4), 1.0, 1.0] and got[-1][0] == 0
+
+
+def test_close_values_with_wide_thresholds(spark):
+    """Bands with a radius find every pair, for narrow and wide thresholds, with and without a block."""
+    rng = np.random.default_rng(6)
+    base = rng.integers(-(2**63), 2**63 - 1, 40, dtype=np.int64)
+    values = set(map(int, base))
+    for v in map(int, base):
+        for flips in (1, 3, 9, 20):
+            w = (v & (1 << 64) - 1) ^ sum(1 << int(b) for b in rng.choice(64, flips, replace=False))
+            values.add(w - (1 << 64) if w >= 1 << 63 else w)
+    df = spark.createDataFrame([(v,) for v in values], "h long")
+    ordered = sorted(values)
+    for threshold, prefix in ((3, 16), (3, 0), (20, 4), (9, 0), (0, 0)):
+        want = {(a, b, d) for i, a in enumerate(ordered) for b in ordered[i + 1 :] if (d := ((a ^ b) & (1 << 64) - 1).bit_count()) <= threshold and (not prefix or (a >> (64 - prefix)) == (b >> (64 - prefix)))}
+        got = [tuple(r) for r in dedup.close_values(df, threshold, prefix).collect()]
+        assert len(got) == len(set(got)) and set(got) == want, (threshold, prefix)
+
+
+def test_requests_give_up_what_an_api_refuses():
+    from siltstone.operators.ask import messages, send_adapted
+
+    asked = messages("be brief", "score it ", "data:x", (("like this", "data:a", {"r": 1}), ("no picture", None, {})))
+    assert [m["role"] for m in asked] == ["system", "user", "assistant", "user"]
+    payload = {"model": "m", "temperature": 0.1, "top_p": 1, "response_format": {}, "input": asked}
+    seen = []
+
+    def api(**request):
+        seen.append(request)
+        if "response_format" in request:
+            raise TypeError("unexpected keyword")
+        if "temperature" in request:
+            raise ValueError("'temperature' is not taken")
+        return "ok"
+
+    assert send_adapted(api, payload, "JSON only") == ("ok", True)
+    assert set(seen[-1]) == {"model", "top_p", "input"} and seen[-1]["input"][1]["content"][0]["text"] == "like this\n\nJSON only"
+    assert payload["input"][1]["content"][0]["text"] == "like this" and send_adapted(lambda **r: 7, payload, "") == (7, False)
+    with pytest.raises(ValueError, match="overloaded"):
+        send_adapted(lambda **r: (_ for _ in ()).throw(ValueError("overloaded")), payload, "")
+
+
+def test_whole_files_only():
+    blob = rasters.encode_png(np.zeros((130, 130, 3), np.uint8))
+    assert rasters.intact(blob) and not any(rasters.intact(blob[:n]) for n in range(0, len(blob), 7))
+    broken = bytearray(blob)
+    broken[60] ^= 1
+    assert not rasters.intact(bytes(broken)) and not rasters.intact(None) and rasters.intact(b"\xff\xd8" + b"x" * 20 + b"\xff\xd9")

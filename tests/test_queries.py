@@ -5,13 +5,12 @@ import math
 import duckdb
 import pytest
 
-from siltstone.oracle import oracle_sql
-from siltstone.queries import queries
+from siltstone import oracle, queries as library, stage_oracle, stage_queries
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-#: Queries that SQL cannot express, with the reason.
-WITHOUT_SQL = {"quota_split": "a greedy walk; see test_operators"}
+QUERIES = library.queries() | stage_queries.queries()
+SQL = oracle.oracle_sql() | stage_oracle.oracle_sql()
 #: Queries that may be empty on the smallest tables.
 MAY_BE_EMPTY = {"md5_tokens"}
 
@@ -35,16 +34,17 @@ def ordered(rows):
 
 
 def test_all_queries_have_sql():
-    assert set(queries()) == set(oracle_sql()) | set(WITHOUT_SQL)
+    assert set(QUERIES) == set(SQL)
+    assert not set(library.queries()) & set(stage_queries.queries())
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_query(spark, con, name):
-    got = queries()[name](spark, SF)
+    got = QUERIES[name](spark, SF)
     names = sorted(got.columns)
-    cursor = con.execute(oracle_sql()[name])
+    cursor = con.execute(SQL[name])
     assert sorted(x[0] for x in cursor.description) == names
-    want = con.execute(f"select {', '.join(names)} from ({oracle_sql()[name]})").fetchall()
+    want = con.execute(f"select {', '.join(names)} from ({SQL[name]})").fetchall()
     rows = ordered(got.select(*names).collect())
     assert rows == ordered(want)
     assert rows or name in MAY_BE_EMPTY
