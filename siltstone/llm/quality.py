@@ -135,8 +135,14 @@ class LabelModel:
     accuracy: tuple[float, ...]
 
 
-def fit_label_model(patterns: dict[tuple[int, ...], int], n_rules: int, rounds: int = 50, smooth: float = 1.0) -> LabelModel:
-    """Expectation-maximisation on counted vote patterns, begun at the share of good votes among those cast."""
+def fit_label_model(patterns: dict[tuple[int, ...], int], n_rules: int, rounds: int = 200, smooth: float = 1.0) -> LabelModel:
+    """Expectation-maximisation on counted vote patterns, begun at the share of good votes among those cast.
+
+    Given the class, a rule that votes says good with a probability of its own; how often it votes at all does not
+    depend on the class, so silence adds nothing.  Votes may count for nothing but never against what they say: where
+    the likelihood would have a rule say good more often of bad texts, both probabilities are the pooled one, which is
+    the maximum under that constraint.  The posterior is that of the fitted model.
+    """
     if not patterns:
         return LabelModel(0.5, ((0.0, 0.0, 0.0),) * n_rules, (0.5,) * n_rules)
     items = sorted(patterns.items())
@@ -147,31 +153,30 @@ def fit_label_model(patterns: dict[tuple[int, ...], int], n_rules: int, rounds:
 
     post = [share(p) for p, _ in items]
     total = float(sum(n for _, n in items))
-    prior, table = 0.5, []
+    prior, says = 0.5, [(0.5, 0.5)] * n_rules
     for _ in range(rounds):
         good = sum(n * q for (_, n), q in zip(items, post))
         prior = min(max((good + smooth) / (total + 2 * smooth), 1e-6), 1 - 1e-6)
-        table = [[[smooth, smooth, smooth], [smooth, smooth, smooth]] for _ in range(n_rules)]
+        cast = [[[smooth, smooth], [smooth, smooth]] for _ in range(n_rules)]  # by class: votes for good and for bad
         for (p, n), q in zip(items, post):
             for r, v in enumerate(p):
-                table[r][0][v] += n * q
-                table[r][1][v] += n * (1 - q)
-        table = [[[x / sum(side) for x in side] for side in rule] for rule in table]
+                if v != ABSTAIN:
+                    cast[r][0][v - GOOD] += n * q
+                    cast[r][1][v - GOOD] += n * (1 - q)
+        says = []
+        for (good_yes, good_no), (bad_yes, bad_no) in cast:
+            a, b = good_yes / (good_yes + good_no), bad_yes / (bad_yes + bad_no)
+            if a < b:
+                a = b = (good_yes + bad_yes) / (good_yes + good_no + bad_yes + bad_no)
+            says.append((a, b))
         before, post = post, []
         for p, _ in items:
-            z = math.log(prior / (1 - prior)) + sum(math.log(table[r][0][v] / table[r][1][v]) for r, v in enumerate(p))
+            z = math.log(prior / (1 - prior)) + sum(math.log(a / b) if v == GOOD else math.log((1 - a) / (1 - b)) for (a, b), v in zip(says, p) if v != ABSTAIN)
             post.append(1 / (1 + math.exp(-max(-60.0, min(60.0, z)))))
-        if max(abs(a - b) for a, b in zip(before, post)) < 1e-9:
+        if max(abs(x - y) for x, y in zip(before, post)) < 1e-9:
             break
-    odds, accuracy = [], []
-    for r in range(n_rules):
-        adds = [math.log(table[r][0][v] / table[r][1][v]) for v in range(3)]
-        # A vote may count for nothing, but never against what it says, and silence never decides.
-        odds.append((max(-1.0, min(1.0, adds[ABSTAIN])), max(0.0, adds[GOOD]), min(0.0, adds[BAD])))
-        right = prior * table[r][0][GOOD] + (1 - prior) * table[r][1][BAD]
-        cast = right + prior * table[r][0][BAD] + (1 - prior) * table[r][1][GOOD]
-        accuracy.append(right / cast)
-    return LabelModel(prior, tuple(odds), tuple(accuracy))
+    odds = tuple((0.0, math.log(a / b), math.log((1 - a) / (1 - b))) for a, b in says)
+    return LabelModel(prior, odds, tuple(prior * a + (1 - prior) * (1 - b) for a, b in says))
 
 
 def posterior(model: LabelModel, rules: tuple[Rule, ...]) -> Column:
