@@ -6,8 +6,10 @@ read a window of words, attention pools the states, and a logistic unit scores t
 overlapping windows that cover it whole; its score is that of the worst window, calibrated on documents.
 
 Training takes a bounded sample of labelled rows (``per_class`` of each label, smallest hashes first) whose crc32 of
-the id leaves another remainder than the held-out one.  Documents carry labels, windows do not: each pass trains on
-the worst window of every document and on random windows of clean ones.
+the id leaves another remainder than the held-out one; texts of more than ``MOST_CHARS`` characters are scored but not
+learnt from, and an id counts once, so the sample is bounded in rows and bytes.  Documents carry labels, windows do
+not: each pass trains on the worst window of every document and on random windows of clean ones.  Networks are kept by
+a hash of their sample, so that the same sample is not learnt twice in a session.
 
 Scoring reads each document once, in the stage that scans it, without a shuffle.  The products of a word's vectors
 with the input weights are kept per worker, up to a bound, so that a step costs a look-up and one small product.
@@ -19,6 +21,7 @@ empty result; only the text is an input of the score.
 
 from __future__ import annotations
 
+import hashlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -33,6 +36,8 @@ from siltstone.storage import bounded_batches
 WINDOW, STRIDE = 32, 24
 #: Labelled documents of each label to learn from, at most.
 PER_CLASS = 1500
+#: Characters of a text to learn from, at most; 2 * PER_CLASS such texts are what reaches the driver.
+MOST_CHARS = 60_000
 THRESHOLD = 0.7
 WORD_DIM, CHAR_DIM, HIDDEN, GRAM_BUCKETS, MOST_WORDS = 8, 8, 8, 1 << 14, 30_000
 _TABLE = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -155,8 +160,8 @@ class Network:
             out[i : i + block] = self.pool(states, part != 0)[0]
         return out
 
-    def step(self, ids: np.ndarray, found: list[bytes], labels: np.ndarray, rate: float) -> float:
-        """One step of Adam on windows (B, WINDOW) of numbers 1.. into ``found`` (0: padding); returns the loss."""
+    def gradients(self, ids: np.ndarray, found: list[bytes], labels: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
+        """Loss and gradients on windows (B, WINDOW) of numbers 1.. into ``found`` (0: padding)."""
         p = self.p
         inputs = np.concatenate([np.zeros((1, WORD_DIM + CHAR_DIM), np.float32), self.vectors(found)])
         turned = ids.T
@@ -194,13 +199,19 @@ class Network:
         g["word"][0] = 0
         buckets, counts = grams(found)
         np.add.at(g["char"], buckets, np.repeat(dv[1:, WORD_DIM:] / np.sqrt(counts)[:, None], counts, axis=0))
+        return float(-np.mean(np.where(labels > 0, np.log(prob + 1e-7), np.log(1 - prob + 1e-7)))), g
+
+    def step(self, ids: np.ndarray, found: list[bytes], labels: np.ndarray, rate: float) -> float:
+        """One step of Adam; returns the loss before it."""
+        p = self.p
+        loss, g = self.gradients(ids, found, labels)
         k = self._moments["k"] = self._moments.get("k", 0) + 1
         for name, grad in g.items():
             m, s = self._moments.setdefault(name, (np.zeros_like(p[name]), np.zeros_like(p[name])))
             m, s = 0.9 * m + 0.1 * grad, 0.999 * s + 0.001 * grad * grad
             self._moments[name] = m, s
             p[name] = (p[name] - rate * (m / (1 - 0.9**k)) / (np.sqrt(s / (1 - 0.999**k)) + 1e-6)).astype(np.float32)
-        return float(-np.mean(np.where(labels > 0, np.log(prob + 1e-7), np.log(1 - prob + 1e-7))))
+        return loss
 
 
 def _log_odds(bad: Counter, good: Counter, n_bad: int, n_good: int, key) -> float:
@@ -371,17 +382,34 @@ def sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label
     known = labels.where(F.col(f"`{id_col}`").isNotNull() & F.col(f"`{label_col}`").isNotNull() & ~held_out(id_col)).groupBy(F.col(f"`{id_col}`").alias("_id")).agg(F.max(F.col(f"`{label_col}`").cast("int")).alias("_y"))
     picked = [known.where(F.col("_y") == y).orderBy(F.xxhash64("_id", F.lit(5)), "_id").limit(per_class) for y in (0, 1)]
     chosen = F.broadcast(picked[0].union(picked[1]))  # 2 * per_class pairs of numbers at most
-    rows = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("_text")).join(chosen, "_id").where("_text IS NOT NULL").collect()
-    rows.sort(key=lambda r: (r["_id"], r["_text"]))
+    short = docs.where(F.length(f"`{text_col}`") <= MOST_CHARS).select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("_text"))
+    rows = short.join(chosen, "_id").groupBy("_id").agg(F.max("_text").alias("_text"), F.max("_y").alias("_y")).collect()
+    rows.sort(key=lambda r: r["_id"])
     return [r["_text"] for r in rows], [r["_y"] for r in rows]
 
 
+_networks: dict[bytes, Network] = {}
+
+
+def trained(texts: list[str], labels: list[int]) -> Network:
+    """The network of a sample; the latest four are kept."""
+    h = hashlib.sha256()
+    for text, label in zip(texts, labels):
+        h.update(f"{label}:{len(text)}:".encode() + text.encode("utf-8", "surrogatepass"))
+    key = h.digest()
+    if key not in _networks:
+        while len(_networks) >= 4:
+            del _networks[next(iter(_networks))]
+        _networks[key] = train(texts, labels)
+        _networks[key]._moments.clear()
+    return _networks[key]
+
+
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", keep: list[str] | None = None, per_class: int = PER_CLASS, threshold: float = THRESHOLD) -> DataFrame:
     """``keep`` columns (the id by default), ``held_out``, ``score`` and ``predicted`` for every row."""
     spark = docs.sparkSession
     bounded_batches(spark)
-    net = train(*sample(docs, labels, id_col, text_col, label_col, per_class))
-    net._moments.clear()
+    net = trained(*sample(docs, labels, id_col, text_col, label_col, per_class))
     kept = [c for c in ([id_col] if keep is None else keep) if c not in ("score", "held_out", "predicted")]
     picked = docs.select(*[F.col(f"`{c}`").alias(f"_k{i}") for i, c in enumerate(kept)], held_out(id_col).alias("held_out"), F.col(f"`{text_col}`").alias("_text"))
     scored = picked.mapInArrow(_scorer(spark.sparkContext.broadcast(net)), ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in picked.schema if f.name != "_text") + ", score double")
