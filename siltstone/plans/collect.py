@@ -22,11 +22,11 @@ def collect(
 
     ``present`` (species, image_id) holds what earlier runs saved: it counts towards the quota, and the same payload in
     the same group is a duplicate.  The first successes in order of arrival fill a quota; what was fetched beyond it
-    is logged but not kept.  Quotas are a small table, one row per group.
+    is logged but not kept.  Quotas are a small table, one row per group, and their queries are asked in a few lanes.
     """
     wanted = requests_for(quotas, suffix).collect()  # one row per group
     asked = spark.createDataFrame(wanted, requests_for(quotas, suffix).schema)
-    results = search(spark, fetch, [r["query"] for r in wanted], pages, rate).join(F.broadcast(asked), "query")
+    results = search(spark, fetch, [r["query"] for r in wanted], pages, rate).join(asked, "query")
     fresh = first_seen(results.withColumn("_at", F.struct("page", "position")), "Name", "url", "_at")
     fetched = materialize(identified(fetch_payloads(fresh, client), least_side=least_side), "fetched")
     old = spark.createDataFrame([], "species string, image_id string") if present is None else present.select("species", "image_id")
