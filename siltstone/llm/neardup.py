@@ -172,7 +172,7 @@ def _unsettled(members: DataFrame, labels: DataFrame) -> DataFrame:
     """Members (band, id, n, c) of buckets that still hold several components ``c``."""
     told = members.join(labels, "id", "left").select("band", "id", "n", F.coalesce("component", "id").alias("c"))
     mixed = told.groupBy("band").agg(F.min("c").alias("least"), F.max("c").alias("most")).where("least <> most").select("band")
-    return told.join(mixed, "band")
+    return told.join(materialize(mixed, "mixed"), "band")  # written first, so that its size is known and members are not dealt by band for it
 
 
 def _hub_pairs(left: DataFrame, compared: DataFrame, percent: int) -> DataFrame:
@@ -247,13 +247,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = materialize(classes, "classes")
     buckets = classes.select("id", "n", F.explode("bands").alias("band"))
     leaders = buckets.groupBy("band").agg(F.count(F.lit(1)).alias("members"), F.min(F.struct("id", "n")).alias("leader")).where("members > 1")
-    members = materialize(buckets.join(leaders, "band").select("band", "id", "n", F.col("leader.id").alias("leader"), F.col("leader.n").alias("leader_n")), "members")
+    members = materialize(buckets.join(leaders, "band").select("band", "id", "n", F.col("leader.id").alias("leader"), F.col("leader.n").alias("leader_n"), "members"), "members")
 
     wanted = members.select(F.col("id").alias("_id")).distinct()
     texts = materialize(picked.where("_text IS NOT NULL").join(wanted, "_id").select(F.col("_id").alias("id"), "_text"), "texts")
     star = members.where("id <> leader").where(_possible(F.col("n"), F.col("leader_n"), percent)).select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
     compared = _verified(star, texts, k, percent, "star")
-    members = members.select("band", "id", "n")
+    members = members.where("members > 2").select("band", "id", "n")  # with the leader a bucket of two has met all of its pairs
     # One round of labels is enough to see which buckets are settled; whole components come before the exact search.
     labels = components(compared.where("linked"), rounds=1)
     left = materialize(_unsettled(members, labels), "unsettled")
