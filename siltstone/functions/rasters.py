@@ -25,6 +25,34 @@ def probe(blob: bytes | None) -> tuple[str, int, int] | None:
     return _jpeg(blob) if blob[:2] == b"\xff\xd8" else None
 
 
+def orientation(blob: bytes) -> int:
+    """How a camera held the picture, 1 to 8, from the TIFF block of a JPEG; 1 where it does not say."""
+    at = 2
+    while blob[:2] == b"\xff\xd8" and at + 4 <= len(blob) and blob[at] == 0xFF and blob[at + 1] != 0xDA:
+        n = int.from_bytes(blob[at + 2 : at + 4], "big")
+        if blob[at + 1] == 0xE1 and blob[at + 4 : at + 10] == b"Exif\0\0":
+            tiff = blob[at + 10 : at + 2 + n]
+            order = "little" if tiff[:2] == b"II" else "big"
+            first = int.from_bytes(tiff[4:8], order)
+            for i in range(int.from_bytes(tiff[first : first + 2], order)):
+                entry = tiff[first + 2 + 12 * i : first + 14 + 12 * i]
+                if int.from_bytes(entry[:2], order) == 0x0112:
+                    value = int.from_bytes(entry[8:10], order)
+                    return value if 1 <= value <= 8 else 1
+            return 1
+        at += 2 + n
+    return 1
+
+
+def upright(pixels: np.ndarray, held: int) -> np.ndarray:
+    """Stored pixels as they are meant to be seen."""
+    if held in (5, 6, 7, 8):
+        pixels = pixels.swapaxes(0, 1)
+    if held in (2, 3, 6, 7):
+        pixels = pixels[:, ::-1]
+    return pixels[::-1] if held in (3, 4, 7, 8) else pixels
+
+
 def intact(blob: bytes | None) -> bool:
     """Whether the body of an image file is all there: chunks of a PNG with right sums and pixel data that inflates, the
     end mark of a JPEG, the stated length of a WEBP."""
@@ -141,8 +169,8 @@ def encode_png(pixels: np.ndarray) -> bytes:
 
 
 def decode(blob: bytes, other: Decoder | None = None) -> np.ndarray:
-    """RGB pixels; alpha is laid over white."""
-    pixels = decode_png(blob) if blob[:4] == b"\x89PNG" or other is None else other(blob)
+    """RGB pixels; alpha is laid over white.  A decoder gives pixels as stored; how a camera held them is applied here."""
+    pixels = decode_png(blob) if blob[:4] == b"\x89PNG" or other is None else upright(other(blob), orientation(blob))
     if pixels.ndim == 2 or pixels.shape[2] == 1:
         pixels = np.repeat(pixels.reshape(*pixels.shape[:2], 1), 3, axis=2)
     elif pixels.shape[2] == 2:

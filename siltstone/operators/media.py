@@ -23,10 +23,28 @@ from siltstone.storage import bounded_batches
 FORMATS, LEAST_SIDE = ("JPEG", "PNG", "WEBP"), 128
 
 
-@F.pandas_udf(T.StructType([T.StructField("fmt", T.StringType()), T.StructField("w", T.IntegerType()), T.StructField("h", T.IntegerType())]))
+_IMAGE = T.StructType([T.StructField("fmt", T.StringType()), T.StructField("w", T.IntegerType()), T.StructField("h", T.IntegerType())])
+
+
+def _told(blob: bytes | None) -> tuple:
+    return (rasters.probe(blob) if rasters.intact(blob) else None) or (None, None, None)
+
+
+def _frame(rows: list[tuple]) -> pd.DataFrame:
+    return pd.DataFrame(rows, columns=["fmt", "w", "h"]).astype({"w": "Int32", "h": "Int32"})
+
+
+@F.pandas_udf(_IMAGE)
 def probe(content: pd.Series) -> pd.DataFrame:
     """Format and size from the file's header; nulls for anything that is no image, or not a whole one."""
-    return pd.DataFrame([(rasters.probe(b) if rasters.intact(b) else None) or (None, None, None) for b in content], columns=["fmt", "w", "h"]).astype({"w": "Int32", "h": "Int32"})
+    return _frame([_told(b) for b in content])
+
+
+@F.pandas_udf(_IMAGE)
+def probe_upright(content: pd.Series) -> pd.DataFrame:
+    """As ``probe``, with the size of the picture as it is meant to be seen."""
+    told = [(b, _told(b)) for b in content]
+    return _frame([(fmt, h, w) if fmt == "JPEG" and rasters.orientation(b) >= 5 else (fmt, w, h) for b, (fmt, w, h) in told])
 
 
 def is_valid(image: Column, least_side: int = LEAST_SIDE) -> Column:

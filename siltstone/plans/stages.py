@@ -85,7 +85,7 @@ def resize(ledger: DataFrame, payloads: DataFrame, root: str, out_root: str, inp
     A picture that does not decode is ``error_open``; one that cannot be resized, encoded or written is ``error_save``.
     """
     chosen = rank.choose_source(led.ensure_columns(ledger, has_ocr="boolean", is_unsafe="boolean"), payloads, root, inpainted)
-    seen = payloads.select(F.col("path").alias("source_path"), media.probe(F.col("content")).alias("_image"))
+    seen = payloads.select(F.col("path").alias("source_path"), media.probe_upright(F.col("content")).alias("_image"))
     planned = materialize(rank.resize_plan(chosen.join(seen, "source_path", "left"), F.col("_image.w"), F.col("_image.h"), F.col("_image.fmt").isNotNull(), strict).drop("_image"), "resize-plan")
     ext = output_extension(F.col("source_used"), F.col("source_path"), F.lit(False))
     work = planned.where("status = 'ok'").select("row_id", F.col("source_path").alias("path"), "new_w", "new_h", "kernel", ext.alias("ext")).join(payloads, "path")
@@ -104,7 +104,7 @@ def detect_text(ledger: DataFrame, payloads: DataFrame, build: Callable[[], Dete
     todo = led.anti_filter(known, "is_unsafe").where(~is_blank(F.col("path_raw")))
     if dry_run:
         return led.preview(todo, 20, "row_id"), todo.limit(0)
-    asked = todo.select("row_id", F.col("path_raw").alias("path")).join(payloads, "path").withColumn("_image", media.probe(F.col("content"))).select("row_id", "path", F.col("_image.w").alias("w"), F.col("_image.h").alias("h"), "content")
+    asked = todo.select("row_id", F.col("path_raw").alias("path")).join(payloads, "path").withColumn("_image", media.probe_upright(F.col("content"))).select("row_id", "path", F.col("_image.w").alias("w"), F.col("_image.h").alias("h"), "content")
     found = media.text_boxes(detect_boxes(asked, build, decoder, rotations=rotations, short_side=short_side), **boxes).where(F.size("boxes") > 0)
     hits = materialize(found.select("row_id", "path", "w", "h", "boxes", media.mask_png("w", "h", "boxes", F.lit(grow)).alias("mask"), media.box_document(F.col("path"), F.col("w"), F.col("h"), F.col("boxes")).alias("document")), "text-hits")
     return led.mark_by_keys(known, hits, "row_id", "has_ocr"), hits

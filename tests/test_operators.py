@@ -319,3 +319,22 @@ def test_whole_files_only():
     broken = bytearray(blob)
     broken[60] ^= 1
     assert not rasters.intact(bytes(broken)) and not rasters.intact(None) and rasters.intact(b"\xff\xd8" + b"x" * 20 + b"\xff\xd9")
+
+
+def test_pictures_are_turned_upright():
+    """All eight ways to hold a camera give the same upright picture; other files are left alone."""
+    seen = np.arange(6).reshape(2, 3)
+    stored = {1: seen, 2: seen[:, ::-1], 3: seen[::-1, ::-1], 4: seen[::-1], 5: seen.T, 6: np.rot90(seen), 7: seen[::-1, ::-1].T, 8: np.rot90(seen, -1)}
+
+    def photo(held, order):
+        mark = b"II*\0" if order == "little" else b"MM\0*"
+        entry = (0x0112).to_bytes(2, order) + (3).to_bytes(2, order) + (1).to_bytes(4, order) + held.to_bytes(2, order) + b"\0\0"
+        body = b"Exif\0\0" + mark + (8).to_bytes(4, order) + (1).to_bytes(2, order) + entry
+        return b"\xff\xd8\xff\xe0\x00\x04ab\xff\xe1" + (len(body) + 2).to_bytes(2, "big") + body + b"\xff\xda\x00\x02\xff\xd9"
+
+    for held, pixels in stored.items():
+        for order in ("little", "big"):
+            assert rasters.orientation(photo(held, order)) == held
+            rgb = np.repeat(pixels[:, :, None], 3, axis=2).astype(np.uint8)
+            assert np.array_equal(rasters.decode(photo(held, order), lambda b: rgb)[:, :, 0], seen), held
+    assert rasters.orientation(jpeg(3, 4)) == 1 and rasters.orientation(b"junk") == 1
