@@ -591,6 +591,162 @@ def test_toxicity_learns_and_finds_a_late_window():
     assert score[0] > 0.7 > 0.5 > score[1]
 
 
+def test_gradients_against_differences():
+    """Each parameter's gradient against central differences of the loss."""
+    import numpy as np
+    from siltstone.llm.toxicity import Corpus, begin, words
+
+    texts = ["the idiot and the moron are here", "alpha beta gamma the of and to", "you scum of an idiot " * 9, "a quiet day by the sea " * 8]
+    tokens, labels = [words(t) for t in texts], np.array([1, 0, 1, 0])
+    net = begin(tokens * 3, np.tile(labels, 3), 5)
+    corpus = Corpus(tokens)
+    ids, found = corpus.batch(np.arange(len(corpus.ids)))
+    truth = np.array([1, 0, 1, 1, 0, 0][: len(ids)], np.float32)
+    _, g = net.gradients(ids, found, truth)
+    rng, eps = np.random.default_rng(3), 1e-2
+    for name, grad in g.items():
+        if np.ndim(grad) == 0:
+            net.p[name] += np.float32(eps)
+            up = net.gradients(ids, found, truth)[0]
+            net.p[name] -= np.float32(2 * eps)
+            down = net.gradients(ids, found, truth)[0]
+            net.p[name] += np.float32(eps)
+            assert (up - down) / (2 * eps) == pytest.approx(float(grad), abs=2e-3)
+            continue
+        p = net.p[name].reshape(-1)
+        strong = np.argsort(-np.abs(grad.reshape(-1)))[:6]
+        for i in {*strong.tolist(), *rng.integers(0, p.size, 4).tolist()}:
+            if name == "word" and i < net.p["word"].shape[1]:
+                continue  # row 0 stands for unknown words and stays 0
+            was = p[i]
+            p[i] = was + eps
+            up = net.gradients(ids, found, truth)[0]
+            p[i] = was - eps
+            down = net.gradients(ids, found, truth)[0]
+            p[i] = was
+            assert (up - down) / (2 * eps) == pytest.approx(float(grad.reshape(-1)[i]), abs=2e-3, rel=0.05), (name, i)
+
+
+def slow_score(net, text):
+    """The score of a text by plain loops: every window, word by word, one gate after the other."""
+    import math
+
+    import numpy as np
+    from siltstone.llm.toxicity import HIDDEN, WINDOW, windows, words
+
+    found = words(text)
+    if not found:
+        return 0.0
+    p = {k: np.asarray(v, np.float64) for k, v in net.p.items()}
+    x = []
+    for w in found:
+        spelled = b"<" + w + b">"
+        grams = [spelled[i : i + n] for n in (3, 4) for i in range(len(spelled) - n + 1)]
+        total = np.zeros(p["char"].shape[1])
+        for gram in grams:
+            h = 0
+            for c in gram:
+                h = (h * 0x01000193 + c + 1) & 0xFFFFFFFF
+            total += p["char"][((h * 0x9E3779B1) & 0xFFFFFFFF) >> 18]
+        x.append(np.concatenate([p["word"][net.vocabulary.get(w, 0)], total / math.sqrt(len(grams))]))
+    worst = -math.inf
+    for first in windows(len(found)):
+        part = x[first : first + WINDOW]
+        part += [np.zeros_like(part[0])] * (WINDOW - len(part))
+        real = min(WINDOW, len(found) - first)
+        states = [None] * WINDOW
+        for d in (0, 1):
+            h = np.zeros(HIDDEN)
+            for t in range(WINDOW) if d == 0 else reversed(range(WINDOW)):
+                a, u = part[t] @ p["Wx"][d] + p["b"][d], h @ p["Wh"][d]
+                z, r = (1 / (1 + np.exp(-(a[k * HIDDEN : (k + 1) * HIDDEN] + u[k * HIDDEN : (k + 1) * HIDDEN]))) for k in (0, 1))
+                n = np.tanh(a[2 * HIDDEN :] + r * u[2 * HIDDEN :])
+                h = n + z * (h - n)
+                states[t] = h if d == 0 else np.concatenate([states[t], h])
+        e = np.array([s @ p["v"] for s in states[:real]])
+        weights = np.exp(e - e.max())
+        context = sum(w * s for w, s in zip(weights / weights.sum(), states[:real]))
+        worst = max(worst, float(context @ p["w"] + p["c"]))
+    return 1 / (1 + math.exp(-(net.slope * worst + net.shift)))
+
+
+def test_op10_against_a_slow_scorer(spark, tables, docs):
+    from siltstone.llm.toxicity import sample, trained
+
+    read = {t: spark.read.parquet(f"{tables}/{t}.parquet") for t in ("documents", "labels")}
+    net = trained(*sample(read["documents"], read["labels"], "doc_id", "text", "toxic", 1500))
+    got = by_id(q.op10_toxicity(spark, tables))
+    for i, d in docs.items():
+        if len((d["text"] or "").split()) <= 250:
+            assert got[i]["score"] == pytest.approx(slow_score(net, d["text"]), abs=1e-3), i
+
+
+def test_op10_held_out_quality(spark):
+    """The labelled rows of the largest table: on those not learnt from, most toxic documents are found, few clean ones."""
+    from siltstone.llm.toxicity import toxicity
+
+    d = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{d}/labels.parquet")
+    toxic = {r["doc_id"]: r["toxic"] for r in labels.collect()}
+    docs = spark.read.parquet(f"{d}/documents.parquet").join(labels.select("doc_id"), "doc_id", "left_semi")
+    held = [(r["score"], r["predicted"], toxic[r["doc_id"]]) for r in toxicity(docs, labels).collect() if r["held_out"]]
+    bad, good = [s for s, _, y in held if y], [s for s, _, y in held if not y]
+    auc = sum((b > g) + 0.5 * (b == g) for b in bad for g in good) / (len(bad) * len(good))
+    assert len(bad) > 100 and auc >= 0.95
+    assert sum(p for _, p, y in held if y) >= 0.85 * len(bad) and sum(p for _, p, y in held if not y) <= 0.02 * len(good)
+
+
+def test_op1_posterior_against_plain_em(spark):
+    """Votes by DuckDB from the measures, the label model row by row in numpy, without counted patterns."""
+    import duckdb
+    import numpy as np
+    from siltstone.llm.quality import RULES, quality_rules
+
+    rows = quality_rules(spark.read.parquet(f"{SF}/documents.parquet"), keep=["doc_id"]).collect()
+    measured = [{k: v for k, v in r.asDict().items() if k not in ("base_failed", "p_good", "kept")} for r in rows]
+    con = duckdb.connect()
+    con.execute("create table m (" + ", ".join(f"{k} bigint" for k in measured[0]) + ")")
+    con.executemany(f"insert into m values ({', '.join('?' * len(measured[0]))})", [list(m.values()) for m in measured])
+    cast = ", ".join(f"CASE WHEN {r.bad} THEN -1 WHEN {r.good} THEN 1 ELSE 0 END" for r in RULES)
+    votes = np.array([r[1:] for r in con.execute(f"select doc_id, {cast} from m order by doc_id").fetchall()])
+    yes, no = votes == 1, votes == -1
+    good = (yes.sum(1) + 1.0) / (yes.sum(1) + 2.0 * no.sum(1) + 2.0)
+    for _ in range(1000):
+        prior = (good.sum() + 1) / (len(good) + 2)
+        a, b = ((w @ yes + 1) / (w @ (yes | no) + 2) for w in (good, 1 - good))
+        pooled = (yes.sum(0) + 2) / ((yes | no).sum(0) + 4)
+        a, b = np.where(a < b, pooled, a), np.where(a < b, pooled, b)
+        z = np.log(prior / (1 - prior)) + yes @ np.log(a / b) + no @ np.log((1 - a) / (1 - b))
+        good = 1 / (1 + np.exp(-z))
+    got = {r["doc_id"]: (r["p_good"], r["kept"], r["base_failed"]) for r in rows}
+    for i, p in zip(sorted(got), good):
+        assert got[i][0] == pytest.approx(p, abs=1e-4) and got[i][1] == (not got[i][2] and got[i][0] >= 0.5), i
+
+
+def test_candidates_of_families_stay_bounded(spark, monkeypatch):
+    """Texts from templates, alike but mostly below the threshold: pairs compared grow far slower than all pairs."""
+    import random
+
+    from siltstone.llm import neardup
+
+    counts = []
+    whole = neardup._verified
+    monkeypatch.setattr(neardup, "_verified", lambda pairs, *rest: (counts.append(pairs.count()), whole(pairs, *rest))[1])
+
+    def compared(n, slots):
+        rnd = random.Random(9)
+        fixed = [[f"f{s}w{j}" for j in range(9)] for s in range(12)]
+        texts = [" ".join(w for s in range(12) for w in (*fixed[s], f"c{s}o{rnd.randrange(slots)}")) for _ in range(n)]
+        counts.clear()
+        got = neardup.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), k=4).collect()
+        want = brute_near(dict(enumerate(texts)), 4, 80)
+        assert {r["doc_id"]: r["component_id"] for r in got} == {i: c for i, (_, c) in want.items()}
+        return sum(counts)
+
+    few, many = compared(150, 5), compared(300, 5)
+    assert few < 0.6 * 150 * 149 / 2 and many < 0.35 * 300 * 299 / 2 and many < 2.5 * few
+
+
 def test_edge_tables(spark):
     """Empty tables, repeated rows, null ids and clashing names crash nothing and keep the number of rows."""
     from siltstone.llm.decontaminate import decontaminate

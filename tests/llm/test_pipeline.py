@@ -94,3 +94,30 @@ def test_run(spark, results):
     got = {r["doc_id"]: r for r in cp.run(spark, SF).collect()}
     assert got == results[0][5]
     assert not re.search("localCheckpoint|collect\\(\\)", open(cp.__file__).read())
+
+
+def test_stages_on_edge_rows(spark, tmp_path):
+    """Nulls in every column, empty texts, repeated rows and ids, extra columns with clashing names, empty tables."""
+    spark.createDataFrame([("q1", None), (None, "a b c")], "item_id string, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    long = " ".join(f"word{i}" for i in range(120)) + "\nline two is here\nline three is here"
+    rows = [
+        (1, long, "en", "s", 5, "x", 7), (1, long, "en", "s", 5, "x", 7), (2, long + " more", "en", None, None, None, None), (None, long, None, "s", 5, "x", 7), (None, long, None, "s", 5, "x", 7),
+        (3, None, None, None, None, None, None), (4, "", "en", "s", 0, "x", 7), (5, "z " * 60_000, "en", "s", 120_000, "x", 7), (None, None, None, None, None, None, None),
+    ]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, kept string, _id long"
+    want = {"quality rules": None, "line dedup": None, "near dedup": 6, "decontamination": 9, "mixing": 9}
+    for name, stage in cp.STAGES:
+        full = stage(spark, spark.createDataFrame(rows, schema), str(tmp_path))
+        got = full.collect()
+        assert name == "mixing" or sorted(full.columns) == COLUMNS
+        assert want[name] is None or len(got) == want[name], (name, got)
+        assert stage(spark, spark.createDataFrame([], schema), str(tmp_path)).count() == 0
+        if name == "quality rules":
+            assert all(r["text"] for r in got) and {r["doc_id"] for r in got} >= {1, 2}
+        if name == "line dedup":  # the second id's three lines differ in the last; both rows of id 1 are one document
+            assert sum(r["doc_id"] == 1 for r in got) == 2 and not any(r["text"] == long for r in got if r["doc_id"] is None)
+        if name == "near dedup":
+            ids = [r["doc_id"] for r in got]
+            assert sorted(i for i in ids if i is not None) == [1, 3, 4, 5] and ids.count(None) == 2
+        if name == "mixing":
+            assert all(r["taken"] == 0 for r in got if not r["size"])
