@@ -1,8 +1,9 @@
 """License scans by ordered signature rules.
 
 Several hundred signatures - regular expressions over normalised words - stand in order of priority: declarations
-("licensed under ..."), sentences of license texts, names with a version, bare names.  A text is only looked at closely
-when a cheap search for a few byte strings finds one; of the signatures, only those run whose needle - a keyword or a fixed stretch of words - the text has.
+("licensed under ..."), sentences of license texts, names with a version, bare names.  Every signature has a keyword:
+one intersection of the text's words with all keywords tells which signatures may fire, and of these only those run
+whose needle - a fixed stretch of words - the text holds.  Most texts have no keyword and are done.
 
 Signatures run on a copy of the text in which every word carries its number, so a match tells its own place and work is
 near linear in the number of matches.  Overlaps are settled in one sweep in text order: of two detections that share a word,
@@ -275,8 +276,6 @@ DECLARATIONS: tuple[tuple[str, float], ...] = (
 
 #: Short names that only mean a license where the text declares one.
 DECLARED_AS = {"apache": ("apache",), "mit": ("mit", "x11"), "bsd": ("bsd",), "isc": ("isc",), "zlib": ("zlib",), "boost": ("bsl",)}
-#: Byte strings of which most signatures hold one; the needles of the others join them in the gate.
-GATE = ("licen", "public domain", " cc by ", "creative commons", "copyright", "warrant", "rights reserved", "permission", "this software", "redistribut")
 #: Classes of signatures in order of priority.
 DECLARED, SENTENCE, VERSIONED, NAMED = range(4)
 
@@ -285,34 +284,31 @@ DECLARED, SENTENCE, VERSIONED, NAMED = range(4)
 class Signature:
     """A rule over normalised words; ``pattern`` begins with a space and ends before one.
 
-    Every match holds the needle, and where ``gated`` a string of ``GATE`` too.
+    Every match holds the needle and, as a whole word, the keyword.
     """
 
     label: str
+    keyword: str
     needle: str
     pattern: str
     weight: float
     tier: int
-    gated: bool = False
-
-
-def _gated(texts: tuple[str, ...]) -> bool:
-    return all(any(g in f" {t} " for g in GATE) for t in texts)
 
 
 def _by_keyword(keyword: str, names: tuple[str, ...]) -> list[tuple[str, tuple[str, ...]]]:
-    """The names that hold the keyword under it, and each other name under itself."""
+    """The names that hold the keyword under it, and each other name under its longest word."""
     with_it = tuple(n for n in names if f" {keyword} " in f" {n} ")
-    return [(keyword, with_it)] * bool(with_it) + [(n, (n,)) for n in names if n not in with_it]
+    return [(keyword, with_it)] * bool(with_it) + [(max(n.split(), key=len), (n,)) for n in names if n not in with_it]
 
 
 def _sentence(label: str, pattern: str) -> Signature:
-    """Its needle is the longest stretch outside groups and classes of characters."""
+    """Its needle is the longest stretch outside groups and classes of characters, its keyword the longest word there."""
     fixed = f" {pattern} "
     while (bare := re.sub(r"\([^()]*\)\??|\[[^]]*\]", "|", fixed)) != fixed:
         fixed = bare
-    needle = max(fixed.split("|"), key=len)
-    return Signature(label, needle, f" {pattern}(?= )", 0.8, SENTENCE, any(g in needle for g in GATE))
+    whole = re.compile("(?<= )[^ ]+(?= )")
+    needle = max((part for part in fixed.split("|") if whole.search(part)), key=len)
+    return Signature(label, max(whole.findall(needle), key=len), needle, f" {pattern}(?= )", 0.8, SENTENCE)
 
 
 def signatures() -> list[Signature]:
@@ -323,20 +319,19 @@ def signatures() -> list[Signature]:
     for label, keyword, names, versions in FAMILIES:
         tail = "" if not versions else "(?:(?: version)?(?: v)? (?:" + "|".join(versions) + "))?"
         for word, spelled in _by_keyword(keyword, (*names, *declared.pop(label, ()))):
-            out.append(Signature(label, f" {word} ", f" {lead} (?:{'|'.join(spelled)}){tail}(?= )", 0.9, DECLARED, _gated(spelled)))
+            out.append(Signature(label, word, f" {word} ", f" {lead} (?:{'|'.join(spelled)}){tail}(?= )", 0.9, DECLARED))
     out += [_sentence(label, pattern) for label, pattern in SENTENCES]
     families = [(label, word, spelled, versions) for label, keyword, names, versions in FAMILIES for word, spelled in _by_keyword(keyword, names)]
     for label, word, spelled, versions in families:
         if versions:
-            out.append(Signature(label, f" {word} ", f" (?:{'|'.join(spelled)})(?: version)?(?: v)? (?:{'|'.join(versions)})(?= )", 0.7, VERSIONED, _gated(spelled)))
-    out += [Signature(label, f" {word} ", f" (?:{'|'.join(spelled)})(?= )", 0.5, NAMED, _gated(spelled)) for label, word, spelled, _ in families]
+            out.append(Signature(label, word, f" {word} ", f" (?:{'|'.join(spelled)})(?: version)?(?: v)? (?:{'|'.join(versions)})(?= )", 0.7, VERSIONED))
+    out += [Signature(label, word, f" {word} ", f" (?:{'|'.join(spelled)})(?= )", 0.5, NAMED) for label, word, spelled, _ in families]
     return out
 
 
-def gate(rules: list[Signature]) -> list[str]:
-    """Strings of which every text with a phrase or a signature has one."""
-    rest = {r.needle for r in rules if not r.gated}
-    return [*GATE, *sorted(rest)]
+def keywords(rules: list[Signature]) -> list[str]:
+    """Words of which every text with a phrase or a signature has one."""
+    return sorted({r.keyword for r in rules} | {p.split()[0] for p, _ in PHRASES})
 
 
 def numbered(pattern: str) -> str:
@@ -346,7 +341,8 @@ def numbered(pattern: str) -> str:
 
 def normalised(text: Column) -> Column:
     """Words in lower case with one space between and around them; one space without words."""
-    low = F.translate(text, ASCII_UPPER, ASCII_UPPER.lower())
+    # Texts of ASCII alone are lower-cased bytewise, which is cheaper and the same.
+    low = F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(F.translate(text, ASCII_UPPER, ASCII_UPPER.lower()))
     return F.concat(F.lit(" "), F.trim(F.regexp_replace(low, _BREAK, " ")), F.lit(" "))
 
 
@@ -356,7 +352,7 @@ def spaces(text: Column) -> Column:
 
 def base_places(flat: Column) -> dict[str, Column]:
     """Count, first and last place of all phrases, and their labels."""
-    counts = [F.size(F.split(flat, f" {p}(?= )", -1)) - 1 for p, _ in PHRASES]
+    counts = [F.when(flat.contains(f" {p} "), F.size(F.split(flat, f" {p}(?= )", -1)) - 1).otherwise(0) for p, _ in PHRASES]
     firsts, lasts = [], []
     for p, _ in PHRASES:
         there = flat.contains(f" {p} ")
@@ -415,14 +411,19 @@ def _settled(found: Column) -> Column:
     return bind(chunks, over)
 
 
-def detections(flat: Column, words: Column, rules: list[Signature]) -> Column:
+def matching_rules(flat: Column, held: Column, rules: list[Signature]) -> Column:
+    """Rules whose keyword is among the text's (``held``) and whose needle is in the text."""
+    # One text literal that the optimizer folds into an array; a column for each rule would make planning slow.
+    listed = json.dumps([{"rank": i, "tier": r.tier, "keyword": r.keyword, "needle": r.needle, "pattern": numbered(r.pattern), "weight": r.weight} for i, r in enumerate(rules)])
+    table = F.from_json(F.lit(listed), "array<struct<rank: int, tier: int, keyword: string, needle: string, pattern: string, weight: double>>")
+    return F.filter(table, lambda r: F.array_contains(held, r["keyword"]) & flat.contains(r["needle"]))
+
+
+def detections(matching: Column, words: Column, rules: list[Signature]) -> Column:
     """Detections that no better one overlaps, by start: (begin, end, rule, label, weight), places in words.
 
-    ``words`` is the text with numbered words; a match begins with the number of its first word.
+    ``words`` is the text with numbered words, so that a match begins with the number of its first word.
     """
-    # One text literal that the optimizer folds into an array; a column for each rule would make planning slow.
-    listed = json.dumps([{"rank": i, "tier": r.tier, "needle": r.needle, "pattern": numbered(r.pattern), "weight": r.weight} for i, r in enumerate(rules)])
-    table = F.from_json(F.lit(listed), "array<struct<rank: int, tier: int, needle: string, pattern: string, weight: double>>")
     labels = F.from_json(F.lit(json.dumps([r.label for r in rules])), "array<string>")
 
     def of_rule(r: Column) -> Column:
@@ -433,7 +434,6 @@ def detections(flat: Column, words: Column, rules: list[Signature]) -> Column:
 
         return F.transform(F.regexp_extract_all(words, r["pattern"], F.lit(0)), hit)
 
-    matching = F.filter(table, lambda r: flat.contains(r["needle"]))
     sorted_ = F.sort_array(F.flatten(F.transform(matching, of_rule)))
     kept = bind(sorted_, lambda found: F.when(F.size(found) > 0, _settled(found)).otherwise(found))
     return F.transform(kept, lambda d: F.struct(d["begin"].alias("begin"), (-d["minus_end"]).alias("end"), d["rank"].alias("rule"), F.get(labels, d["rank"]).alias("label"), d["weight"].alias("weight")))
@@ -452,13 +452,13 @@ def scan_licenses(docs: DataFrame, text_col: str = "text", keep: list[str] | Non
     picked = docs.select(*[F.col(f"`{c}`").alias(f"_k{i}") for i, c in enumerate(kept)], text.alias("_text"))
     keys = [f"_k{i}" for i in range(len(kept))]
     flat = F.col("_flat")
-    opened = F.lit(False)
-    for word in gate(rules):
-        opened = opened | flat.contains(word)
-    gated = picked.select(*keys, normalised(F.col("_text")).alias("_flat")).select(*keys, "_flat", opened.alias("_gate"))
-    based = gated.select(*keys, "_flat", "_gate", F.when(flat == "  ", F.lit(0)).otherwise(spaces(flat) - 1).cast("long").alias("n_words"), *[F.when(F.col("_gate"), v).alias(k) for k, v in base_places(flat).items()])
-    listed = based.withColumn("_words", F.when(F.col("_gate"), numbered_words(flat)))
-    found = listed.withColumn("detections", F.when(F.col("_gate"), detections(flat, F.col("_words"), rules)))
+    split = picked.select(*keys, normalised(F.col("_text")).alias("_flat"))
+    known = split.select(*keys, "_flat", F.array_intersect(F.split(flat, " "), F.array(*map(F.lit, keywords(rules)))).alias("_held"))
+    gated = known.select(*keys, "_flat", "_held", (F.size("_held") > 0).alias("_gate"))
+    based = gated.select(*keys, "_flat", "_held", "_gate", F.when(flat == "  ", F.lit(0)).otherwise(spaces(flat) - 1).cast("long").alias("n_words"), *[F.when(F.col("_gate"), v).alias(k) for k, v in base_places(flat).items()])
+    tried = based.withColumn("_rules", F.when(F.col("_gate"), matching_rules(flat, F.col("_held"), rules)))
+    listed = tried.withColumn("_words", F.when(F.size("_rules") > 0, numbered_words(flat)))
+    found = listed.withColumn("detections", F.when(F.size("_rules") > 0, detections(F.col("_rules"), F.col("_words"), rules)))
     empty = F.array().cast("array<string>")
     base = F.coalesce("_base", empty)
     own = F.coalesce(F.transform("detections", lambda d: d["label"]), empty)
