@@ -5,10 +5,14 @@ Documents with their labels stand in for the ledger: ids and scores come from ha
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from siltstone.functions import documents as d
 from siltstone.functions import scalars as s
@@ -61,14 +65,44 @@ def exact_content_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def hashed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(row_id, h): the leading 60 bits of a 64-bit hash from word votes; texts without words have none."""
+    """(doc_id, h): the leading 60 bits of a 64-bit hash from word votes, counted inside the row; texts without words have none."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     words = F.array_distinct(F.filter(F.split(F.lower("text"), "[^a-z0-9]+"), lambda w: w != ""))
-    hashes = F.transform(words, lambda w: F.conv(F.substring(F.md5(w), 1, 15), 16, 10).cast("long"))
-    voted = docs.select("doc_id", hashes.alias("x")).where(F.size("x") > 0)
-    majority = F.transform(F.sequence(F.lit(0), F.lit(59)), lambda i: 2 * F.size(F.filter("x", lambda x: F.getbit(x, i) == 1)) > F.size("x"))
-    h = F.aggregate(F.reverse(majority), F.lit(0).cast("long"), lambda a, b: F.shiftleft(a, 1).bitwiseOR(F.when(b, F.lit(1).cast("long")).otherwise(F.lit(0).cast("long"))))
-    return voted.select("doc_id", F.shiftleft(h, 4).alias("h"))
+    return docs.select("doc_id", words.alias("w")).where(F.size("w") > 0).select("doc_id", _majority("w").alias("h"))
+
+
+class _WordBits(dict):
+    """The leading 60 bits of a word's MD5, remembered up to a bound: frequent words are hashed once a worker."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) > 500_000:
+            self.clear()
+        value = self[word] = int(hashlib.md5(word.encode()).hexdigest()[:15], 16)
+        return value
+
+
+_word_bits = _WordBits()
+
+
+@F.arrow_udf(T.LongType())
+def _majority(listed: pa.Array) -> pa.Array:
+    """The 60 bits that more than half of the words of a list have in their hashes, above four zeros."""
+    counts = np.asarray(listed.value_lengths())
+    ends = np.cumsum(counts)
+    words = listed.flatten().to_pylist()
+    flat = np.fromiter(map(_word_bits.__getitem__, words), np.uint64, len(words)).astype(">u8")
+    out = np.zeros(len(counts), np.int64)
+    begin = 0
+    while begin < len(counts):  # slices of about 200,000 numbers, as each takes 64 bytes
+        base = ends[begin] - counts[begin]
+        end = max(begin + 1, int(np.searchsorted(ends, base + 200_000, "right")))
+        bits = np.unpackbits(flat[base : ends[end - 1]].view(np.uint8).reshape(-1, 8), axis=1)[:, 4:]
+        votes = np.add.reduceat(bits, ends[begin:end] - counts[begin:end] - base, axis=0, dtype=np.int64)
+        most = np.zeros((end - begin, 64), np.uint8)
+        most[:, :60] = 2 * votes > counts[begin:end, None]
+        out[begin:end] = np.packbits(most, axis=1).view(">i8").ravel()
+        begin = end
+    return pa.array(out)
 
 
 def near_dup_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
