@@ -5,7 +5,6 @@ A file is written under a temporary name and renamed, so a task that runs twice
 
 from __future__ import annotations
 
-import io
 import json
 import tarfile
 import uuid
@@ -76,6 +75,18 @@ def sample_metadata(df: DataFrame) -> DataFrame:
     return df.withColumns({"key": text(F.col("image_id")), "caption": text(F.col("hybrid_caption")), "meta": F.when(text(F.col("phash")) != "", hashed).otherwise(plain), "ext": F.when(ext.isin(*SHARD_EXTENSIONS), ext).otherwise(".jpg")})
 
 
+def tar_entry(name: str, data: bytes) -> bytes:
+    """A file as its blocks in a tar archive; an open ``TarFile`` would keep a list of all its members."""
+    info = tarfile.TarInfo(name)
+    info.size, info.mtime = len(data), 0
+    return info.tobuf(tarfile.USTAR_FORMAT) + data + bytes(-len(data) % tarfile.BLOCKSIZE)
+
+
+def tar_end(length: int) -> bytes:
+    """What ends an archive of that many bytes: two empty blocks, and more to a whole record."""
+    return bytes(2 * tarfile.BLOCKSIZE + -(length + 2 * tarfile.BLOCKSIZE) % tarfile.RECORDSIZE)
+
+
 def write_shards(df: DataFrame, root: str, pattern: str, n_shards: int) -> DataFrame:
     """Pack rows (shard, position, key, ext, content, caption, meta) into one tar a shard: (path, samples, bytes).
 
@@ -88,10 +99,10 @@ def write_shards(df: DataFrame, root: str, pattern: str, n_shards: int) -> DataF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = open_fs(root)
-        current, tar, out, fresh, n = None, None, None, "", 0
+        current, out, fresh, n = None, None, "", 0
 
         def close() -> pa.RecordBatch:
-            tar.close()
+            out.write(tar_end(out.tell()))
             out.close()
             path = f"{base}/{pattern % current}"
             store.move(fresh, path)
@@ -100,19 +111,16 @@ def write_shards(df: DataFrame, root: str, pattern: str, n_shards: int) -> DataF
         for batch in batches:
             for shard, key, ext, content, caption, meta in zip(*(batch.column(c).to_pylist() for c in columns)):
                 if shard != current:
-                    if tar is not None:
+                    if out is not None:
                         yield close()
                     current, n = shard, 0
                     fresh = f"{base}/{pattern % shard}.{uuid.uuid4().hex}.tmp"
                     store.create_dir(fresh.rsplit("/", 1)[0], recursive=True)
-                    out = store.open_output_stream(fresh, compression=None)
-                    tar = tarfile.open(fileobj=out, mode="w|", format=tarfile.USTAR_FORMAT)
+                    out = store.open_output_stream(fresh, compression=None, buffer_size=1 << 20)
                 for name, data in ((key + ext, content), (key + ".txt", caption.encode()), (key + ".json", meta.encode())):
-                    info = tarfile.TarInfo(name)
-                    info.size, info.mtime = len(data), 0
-                    tar.addfile(info, io.BytesIO(data))
+                    out.write(tar_entry(name, data))
                 n += 1
-        if tar is not None:
+        if out is not None:
             yield close()
 
     dealt = df.select(*columns, "position").repartitionByRange(max(1, n_shards), "shard").sortWithinPartitions("shard", "position")

@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
+import io
+import tarfile
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siltstone.functions.scalars import band_of, blank_to_null, stem_of, suffix_of
 from siltstone.operators.ledger import require_columns
+from siltstone.storage import open_fs
 
 ATTEMPTS = "ts string, status string, url string, scrape_run_id string, species string, rank int, band string, query string, hash string, path string, fmt string, w int, h int, content_type string, error string"
+MEMBERS = pa.schema([("path", pa.string()), ("name", pa.string()), ("length", pa.int64())])
 
 
 def read_csv(spark: SparkSession, path: str, schema: str | T.StructType, sep: str = ",", blanks: bool = False, multi_line: bool = True) -> DataFrame:
@@ -66,6 +73,33 @@ def read_payloads(spark: SparkSession, path: str, glob: str = "*", content: bool
     return df.select("path", "length", *(["content"] if content else []))
 
 
+def read_members(spark: SparkSession, path: str, glob: str = "*.tar") -> DataFrame:
+    """Members of the tar archives below a folder: path, name, length.
+
+    An archive is read by one task, header by header, and its list of members is emptied as it goes: memory does not
+    grow with the archive, which may be larger than a binary value can be.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path in batch.column("path").to_pylist():
+                store, within = open_fs(path)
+                rows: list[tuple[str, int]] = []
+                with io.BufferedReader(store.open_input_file(within), 1 << 18) as stream, tarfile.open(fileobj=stream, mode="r:") as tar:
+                    while (member := tar.next()) is not None:
+                        tar.members.clear()
+                        rows.append((member.name, member.size))
+                        if len(rows) == 5_000:
+                            yield told(path, rows)
+                            rows = []
+                yield told(path, rows)
+
+    def told(path: str, rows: list[tuple[str, int]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict({"path": [path] * len(rows), "name": [r[0] for r in rows], "length": [r[1] for r in rows]}, schema=MEMBERS)
+
+    return read_payloads(spark, path, glob, content=False).select("path").mapInArrow(run, "path string, name string, length long")
+
+
 def by_extension(path: Column, ranks: dict[str, int]) -> Column:
     s, out = suffix_of(path), F.lit(max(ranks.values()) + 1)
     for ext, rank in ranks.items():

@@ -302,21 +302,14 @@ def written_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def packed_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Samples packed into three tar shards: how many each holds, and the members that were read back."""
-    import io
-    import tarfile
-
     root = scratch_path(spark, "shards")
     k = F.col("c_custkey")
     rows = _table(spark, sf_dir, "customer").select(k.cast("string").alias("image_id"), F.lit("train").alias("split"), F.lit("u").alias("source_url"), F.lit("8x9").alias("image_size"), k.alias("ae_relevance"), k.alias("ae_aesthetic"), F.lit("mew, pikachu").alias("species"), F.lit("{}").alias("tags"), F.lit("").alias("phash"), F.col("c_name").alias("hybrid_caption"), F.concat(F.lit("/p/"), k, _pick(k, ".png", ".JPG", ".gif")).alias("path"), F.encode("c_name", "UTF-8").alias("content"))
     told = materialize(packing.write_shards(packing.sample_metadata(groups.assign_shards(rows, 3)), root, "train-%05d.tar", 3), "packed")
 
-    @F.udf("array<string>")
-    def members(blob: bytes) -> list[str]:
-        with tarfile.open(fileobj=io.BytesIO(bytes(blob))) as tar:
-            return [f"{m.name}:{m.size}" for m in tar if m.name.endswith((".png", ".jpg", ".txt"))]
-
-    files = sources.read_payloads(spark, root, "*.tar").select(F.element_at(F.split("path", "/"), -1).alias("path"), F.explode(members("content")).alias("member"))
-    return told.join(files, "path").select("path", "samples", "member")
+    files = sources.read_members(spark, root, "*.tar").where(F.regexp_like("name", F.lit(r"\.(png|jpg|txt)$")))
+    named = files.select(F.element_at(F.split("path", "/"), -1).alias("path"), F.concat_ws(":", "name", "length").alias("member"))
+    return told.join(named, "path").select("path", "samples", "member")
 
 
 def sample_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,5 +1,6 @@
 """Sources, sinks, streams and whole plans on small files."""
 
+import io
 import json
 import tarfile
 
@@ -209,3 +210,29 @@ def test_stream_equals_batch(spark, tmp_path):
     (tmp_path / "log/2.json").write_text(json.dumps(rows[0]))
     attempts.run(stream, f"{tmp_path}/cp", commit).awaitTermination()
     assert len(commits) > n and sorted(r["url"] for r in spark.read.parquet(f"{tmp_path}/out").collect()) == ["a", "b", "c"]
+
+
+def test_packed_shards_are_streams(spark, tmp_path):
+    """No archive is held as one value, and blocks are those of an archive that keeps a list of its members."""
+    from siltstone import stage_queries
+
+    files = [(f"{i}.txt", b"x" * (i * 300)) for i in range(40)]
+    want = io.BytesIO()
+    with tarfile.open(fileobj=want, mode="w|", format=tarfile.USTAR_FORMAT) as tar:
+        for name, data in files:
+            info = tarfile.TarInfo(name)
+            info.size = len(data)
+            tar.addfile(info, io.BytesIO(data))
+    blocks = b"".join(payloads.tar_entry(*f) for f in files)
+    (tmp_path / "a.tar").write_bytes(blocks + payloads.tar_end(len(blocks)))
+    assert (tmp_path / "a.tar").read_bytes() == want.getvalue()
+    (tmp_path / "empty.tar").write_bytes(payloads.tar_end(0))
+    assert {(r["name"], r["length"]) for r in tables.read_members(spark, str(tmp_path)).collect()} == {(n, len(d)) for n, d in files}
+    most = "spark.sql.sources.binaryFile.maxLength"
+    before = spark.conf.get(most)
+    spark.conf.set(most, "1000")
+    try:
+        got = stage_queries.packed_shards(spark, "/root/testdata/sf0.001")
+        assert got.count() == 2 * spark.read.parquet("/root/testdata/sf0.001/customer.parquet").count()
+    finally:
+        spark.conf.set(most, before)
