@@ -338,3 +338,11 @@ def test_pictures_are_turned_upright():
             rgb = np.repeat(pixels[:, :, None], 3, axis=2).astype(np.uint8)
             assert np.array_equal(rasters.decode(photo(held, order), lambda b: rgb)[:, :, 0], seen), held
     assert rasters.orientation(jpeg(3, 4)) == 1 and rasters.orientation(b"junk") == 1
+
+
+def test_data_urls_are_one_line(spark):
+    import base64
+
+    contents = [b"", b"x" * 57, b"x" * 58, bytes(range(256)) * 4, None]
+    want = [None if c is None else "data:image/png;base64," + base64.b64encode(c).decode() for c in contents]
+    assert apply(spark, lambda x: s.data_url(F.lit("a.png"), x), contents, "binary") == want
