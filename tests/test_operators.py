@@ -346,3 +346,24 @@ def test_data_urls_are_one_line(spark):
     contents = [b"", b"x" * 57, b"x" * 58, bytes(range(256)) * 4, None]
     want = [None if c is None else "data:image/png;base64," + base64.b64encode(c).decode() for c in contents]
     assert apply(spark, lambda x: s.data_url(F.lit("a.png"), x), contents, "binary") == want
+
+
+def test_wide_thresholds_are_compared_by_cells(spark, monkeypatch):
+    """All pairs of a block, in as many tasks as its pairs of cells need."""
+    monkeypatch.setattr(dedup, "CELL", 32)
+    rng = np.random.default_rng(3)
+    drawn = [int(v) for v in rng.integers(-(1 << 63), 1 << 63, 1_200)]
+    hashes = sorted({*drawn, *[v ^ (1 << i % 63) for i, v in enumerate(drawn[:100])], 0, -1})
+    values = spark.createDataFrame([(v,) for v in [*hashes, None]], "h long")
+    for threshold, prefix in ((20, 4), (25, 2), (24, 0)):
+        found = dedup.close_values(values, threshold, prefix)
+        want = set()
+        for i, a in enumerate(hashes):
+            for b in hashes[i + 1 :]:
+                x = (a ^ b) & ((1 << 64) - 1)
+                if x.bit_count() <= threshold and (prefix == 0 or x >> (64 - prefix) == 0):
+                    want.add((a, b, x.bit_count()))
+        got = [tuple(r) for r in found.collect()]
+        assert len(got) == len(set(got)) and set(got) == want
+        assert found.rdd.getNumPartitions() > 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert dedup.close_values(values.where("h IS NULL"), 20, 4).count() == 0
