@@ -367,3 +367,20 @@ def test_wide_thresholds_are_compared_by_cells(spark, monkeypatch):
         assert len(got) == len(set(got)) and set(got) == want
         assert found.rdd.getNumPartitions() > 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert dedup.close_values(values.where("h IS NULL"), 20, 4).count() == 0
+
+
+def test_hashed_documents_bound_their_batches(spark):
+    """The words of a batch are Python objects at once, so rows and bytes of a batch are bounded."""
+    from siltstone import queries
+
+    names = {f"spark.sql.execution.arrow.{n}": v for n, v in (("maxRecordsPerBatch", "10000"), ("maxBytesPerBatch", str(1 << 30)))}
+    before = {n: spark.conf.get(n) for n in names}
+    try:
+        for n, v in names.items():
+            spark.conf.set(n, v)
+        queries.hashed_documents(spark, "/root/testdata/sf0.001")
+        rows, size = (int(spark.conf.get(n)) for n in names)
+        assert rows <= 1_000 and size <= 4 << 20
+    finally:
+        for n, v in before.items():
+            spark.conf.set(n, v)
